@@ -152,8 +152,8 @@ def _draw(df, columns, key, n, wanted, trees, seed) -> DataFrame:
     )
     return (
         rows.where(times >= 1)
-        .select("column", F.col("value.x").alias("value"), h.alias("h"), F.explode(spread).alias("tree"))
-        .select("column", "tree", "value", F.xxhash64("h", "tree").alias("draw"))
+        .select("column", F.col("value.x").alias("x"), h.alias("h"), F.explode(spread).alias("tree"))
+        .select("column", "tree", F.col("x").alias("value"), F.xxhash64("h", "tree").alias("draw"))
     )
 
 

@@ -21,7 +21,7 @@ from tablelab.functions.columns import (
     tidy,
     value_counts,
 )
-from tablelab.functions.quantiles import quantiles
+from tablelab.functions.quantiles import Central, quantiles
 
 PAIRS_PER_SCAN = 300
 
@@ -70,28 +70,18 @@ def numeric_stats(df: DataFrame, columns: Sequence[str] | None = None, *, exact:
     values = {c: number(df, c) for c in names}
     extra = []
     for i, c in enumerate(names):
-        v = values[c]
-        extra += [
-            F.count(v).alias(f"n{i}"),
-            F.avg(v).alias(f"mean{i}"),
-            F.stddev_samp(v).alias(f"std{i}"),
-            F.min(v).alias(f"min{i}"),
-            F.max(v).alias(f"max{i}"),
-            F.skewness(v).alias(f"g1{i}"),
-            F.kurtosis(v).alias(f"g2{i}"),
-            F.count(F.when(v == 0, 1)).alias(f"zeros{i}"),
-        ]
-    cuts, row = quantiles(df, values, [0.25, 0.5, 0.75], exact=exact, extra=extra)
+        extra += [F.min(values[c]).alias(f"min{i}"), F.max(values[c]).alias(f"max{i}")]
+        extra.append(F.count(F.when(values[c] == 0, 1)).alias(f"zeros{i}"))
+    central: dict[str, Central] = {}
+    cuts, row = quantiles(df, values, [0.25, 0.5, 0.75], exact=exact, extra=extra, central=central)
     rows = []
     for i, c in enumerate(names):
-        n = row[f"n{i}"]
+        n, zeros = central[c].n, row[f"zeros{i}"]
+        low, high = row[f"min{i}"], row[f"max{i}"]
         q1, median, q3 = cuts[c]
-        skew, kurt = _corrected(n, row[f"std{i}"], row[f"g1{i}"], row[f"g2{i}"])
-        zeros = row[f"zeros{i}"]
-        rows.append(
-            (c, n, row[f"mean{i}"], row[f"std{i}"], row[f"min{i}"], row[f"max{i}"], median, q1, q3, skew, kurt)
-            + (zeros, zeros / n * 100 if n else None)
-        )
+        std, skew, kurt = _shape(central[c], low == high)
+        share = zeros / n * 100 if n else None
+        rows.append((c, n, central[c].mean, std, low, high, median, q1, q3, skew, kurt, zeros, share))
     schema = (
         "column string, n bigint, mean double, std double, min double, max double, median double, q1 double, "
         "q3 double, skew double, kurtosis double, zeros bigint, zeros_percent double"
@@ -99,15 +89,20 @@ def numeric_stats(df: DataFrame, columns: Sequence[str] | None = None, *, exact:
     return df.sparkSession.createDataFrame(rows, schema)
 
 
-def _corrected(n: int, std, g1, g2) -> tuple[float | None, float | None]:
-    if std == 0:
-        return (0.0 if n >= 3 else None), (0.0 if n >= 4 else None)
+def _shape(c: Central, constant: bool) -> tuple[float | None, float | None, float | None]:
+    """Sample deviation, and skew and kurtosis with the small-sample correction."""
+    n = c.n
+    if constant:
+        return (0.0 if n >= 2 else None), (0.0 if n >= 3 else None), (0.0 if n >= 4 else None)
+    if n < 2:
+        return None, None, None
+    m2, m3, m4 = (p / n for p in c.powers[1:])
     skew = kurt = None
-    if n >= 3 and g1 is not None:
-        skew = g1 * math.sqrt(n * (n - 1)) / (n - 2)
-    if n >= 4 and g2 is not None:
-        kurt = (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6)
-    return skew, kurt
+    if n >= 3:
+        skew = m3 / m2**1.5 * math.sqrt(n * (n - 1)) / (n - 2)
+    if n >= 4:
+        kurt = (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * (m4 / m2**2 - 3) + 6)
+    return math.sqrt(c.powers[1] / (n - 1)), skew, kurt
 
 
 def categorical_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
