@@ -147,26 +147,26 @@ def c07_bisecting(spark, sf):
 
 @query("c08_compare_clusterings")
 def c08(spark, sf):
-    return search.compare_clusterings(_customer_frame(spark, sf), ALGORITHMS, key=FRAME_KEY).table(spark)
+    return search.compare_clusterings(_customer_frame(spark, sf), ALGORITHMS, key=FRAME_KEY, ready=True).table(spark)
 
 
 @query("c08_metric_by_clusters")
 def c08_by(spark, sf):
     grids = {"kmeans": {"n_clusters": [2, 3, 4], "n_init": [1]}, "agglo": {"n_clusters": [2, 3, 4]}}
-    return search.compare_clusterings(_customer_frame(spark, sf), grids, key=FRAME_KEY).by_clusters(spark)
+    return search.compare_clusterings(_customer_frame(spark, sf), grids, key=FRAME_KEY, ready=True).by_clusters(spark)
 
 
 @query("c09_tune_random")
 def c09(spark, sf):
     space = {"n_clusters": {"type": "int", "low": 2, "high": 6}, "n_init": {"type": "int", "low": 1, "high": 3},
              "init": {"type": "categorical", "choices": ["k-means++", "random"]}}
-    return search.tune_random(_customer_frame(spark, sf), "kmeans", key=FRAME_KEY, n_trials=5, space=space).table(spark)
+    return search.tune_random(_customer_frame(spark, sf), "kmeans", key=FRAME_KEY, n_trials=5, space=space, ready=True).table(spark)
 
 
 @query("c10_tune_grid")
 def c10(spark, sf):
     space = {"n_clusters": {"type": "int", "low": 2, "high": 4}, "linkage": {"type": "categorical", "choices": ["ward", "average"]}}
-    return search.tune_grid(_customer_frame(spark, sf), "agglo", key=FRAME_KEY, space=space).table(spark)
+    return search.tune_grid(_customer_frame(spark, sf), "agglo", key=FRAME_KEY, space=space, ready=True).table(spark)
 
 
 @query(
@@ -377,8 +377,8 @@ def g06(spark, sf):
 
 @query(
     "g07_combined_importance",
-    f"""WITH {_drop_ctes()}, both AS (SELECT feature, f, base - without AS d FROM drops JOIN ({_anova_sql(CUSTOMER, 't', 'c_mktsegment')}) USING (feature)),
-    norm AS (SELECT *, (f - min(f) OVER ()) / (max(f) OVER () - min(f) OVER ()) AS fa, (d - min(d) OVER ()) / (max(d) OVER () - min(d) OVER ()) AS da FROM both)
+    f"""WITH {_drop_ctes()}, joined AS (SELECT feature, f, base - without AS d FROM drops JOIN ({_anova_sql(CUSTOMER, 't', 'c_mktsegment')}) USING (feature)),
+    norm AS (SELECT *, (f - min(f) OVER ()) / (max(f) OVER () - min(f) OVER ()) AS fa, (d - min(d) OVER ()) / (max(d) OVER () - min(d) OVER ()) AS da FROM joined)
     SELECT feature, {r('f', 'anova_score')}, {r('d', 'silhouette_score')}, {r('fa', 'anova_norm')}, {r('da', 'silhouette_norm')}, {r('(fa + da) / 2', 'combined_importance')} FROM norm""",
 )
 def g07(spark, sf):

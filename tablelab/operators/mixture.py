@@ -139,37 +139,21 @@ def _sums(df, points, k, origin, *, mixture: Mixture | None = None, centers: np.
             s += r.T @ y
             for j in range(k):
                 ss[j] += (r[:, j, None] * y).T @ y
-        for j in range(k):
-            yield pd.DataFrame({"j": [j], "n": [n[j]], "s": [s[j]], "ss": [ss[j].ravel()], "ll": [ll if j == 0 else 0.0],
-                                "rows": [rows if j == 0 else 0]})
-
-    schema = "j int, n double, s array<double>, ss array<double>, ll double, rows bigint"
-    parts = df.select(points).mapInPandas(partial, schema)
-
-    def added(name: str, width: int):
-        # Element-wise sum of arrays, combined before the shuffle.
-        return F.array(*[F.sum(F.get(name, F.lit(i))) for i in range(width)]).alias(name)
-
-    if d * d <= 256:
-        total = parts.groupBy("j").agg(F.sum("n").alias("n"), added("s", d), added("ss", d * d), F.sum("ll").alias("ll"), F.sum("rows").alias("rows"))
-        found = total.collect()
-        scalars = {r["j"]: (r["n"], np.array(r["s"]), np.array(r["ss"]), r["ll"], r["rows"]) for r in found}
-    else:
-        scalars = _sums_by_position(parts, k, d)
-    n = np.array([scalars[j][0] for j in range(k)])
-    s = np.stack([scalars[j][1] for j in range(k)])
-    ss = np.stack([scalars[j][2].reshape(d, d) for j in range(k)])
-    rows = sum(scalars[j][4] for j in range(k))
-    return n, s, ss, sum(scalars[j][3] for j in range(k)) / rows, rows
-
-
-def _sums_by_position(parts: DataFrame, k: int, d: int) -> dict:
-    """The same sums for wide data: explode to (component, position) and add up."""
-    flat = parts.select("j", F.posexplode(F.concat(F.array("n", "ll", F.col("rows").cast("double")), "s", "ss")))
-    out = {j: np.zeros(3 + d + d * d) for j in range(k)}
-    for r in flat.groupBy("j", "pos").agg(F.sum("col").alias("v")).collect():
-        out[r["j"]][r["pos"]] = r["v"]
-    return {j: (v[0], v[3 : 3 + d], v[3 + d :], v[1], int(v[2])) for j, v in out.items()}
+        totals = np.zeros((k, 3))
+        totals[:, 0] = n
+        totals[0, 1:] = ll, rows
+        flat = np.hstack([totals, s, ss.reshape(k, -1)])
+        width = flat.shape[1]
+        positions = {"j": np.repeat(np.arange(k), width), "pos": np.tile(np.arange(width), k)}
+        yield pd.DataFrame({**positions, "v": flat.ravel()}).astype({"j": "int32", "pos": "int32"})
+
+    # One row per component and position keeps the plan the same for any width.
+    parts = df.select(points).mapInPandas(partial, "j int, pos int, v double")
+    flat = np.zeros((k, 3 + d + d * d))
+    for r in parts.groupBy("j", "pos").agg(F.sum("v").alias("v")).collect():
+        flat[r["j"], r["pos"]] = r["v"]
+    n, ll, rows = flat[:, 0], flat[0, 1], flat[0, 2]
+    return n, flat[:, 3 : 3 + d], flat[:, 3 + d :].reshape(k, d, d), float(ll / rows), int(rows)
 
 
 def _maximise(sums, covariance_type: str, reg_covar: float, origin: np.ndarray) -> Mixture:

@@ -95,7 +95,7 @@ def calinski_harabasz(m: Moments) -> float:
     middle = (m.n[:, None] * m.mean).sum(axis=0) / total
     between = float((m.n[:, None] * (m.mean - middle) ** 2).sum())
     within = float((m.n[:, None] * m.var).sum())
-    return 1.0 if within == 0 else between * (total - m.k) / (within * (m.k - 1))
+    return 1.0 if within == 0 else float(between * (total - m.k) / (within * (m.k - 1)))
 
 
 def davies_bouldin(pts: DataFrame, m: Moments) -> float:

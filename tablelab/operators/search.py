@@ -121,10 +121,12 @@ def run_trials(
     return Search(trials, metric)
 
 
-def compare_clusterings(df: DataFrame, algorithms: dict[str, dict[str, Sequence]], *, key: Sequence[str], **options) -> Search:
-    """All grid points of all algorithms on one materialised frame."""
+def compare_clusterings(
+    df: DataFrame, algorithms: dict[str, dict[str, Sequence]], *, key: Sequence[str], ready: bool = False, **options
+) -> Search:
+    """All grid points of all algorithms on one materialised frame (``ready`` if it is one)."""
     todo = [(name, params) for name, lists in algorithms.items() for params in grid(lists)]
-    return run_trials(materialise(df), todo, key=key, **options)
+    return run_trials(df if ready else materialise(df), todo, key=key, **options)
 
 
 def draw_params(space: dict, rng: np.random.Generator) -> dict:
@@ -142,13 +144,21 @@ def draw_params(space: dict, rng: np.random.Generator) -> dict:
 
 
 def tune_random(
-    df: DataFrame, algorithm: str, *, key: Sequence[str], n_trials: int = 50, space: dict | None = None, seed: int = 42, **options
+    df: DataFrame,
+    algorithm: str,
+    *,
+    key: Sequence[str],
+    n_trials: int = 50,
+    space: dict | None = None,
+    seed: int = 42,
+    ready: bool = False,
+    **options,
 ) -> Search:
     """Seeded random draws from a typed space, judged by silhouette."""
     rng = np.random.default_rng(seed)
     chosen = space or SPACES[algorithm]
     todo = [(algorithm, draw_params(chosen, rng)) for _ in range(n_trials)]
-    return run_trials(materialise(df), todo, key=key, seed=seed, require_two=True, **options)
+    return run_trials(df if ready else materialise(df), todo, key=key, seed=seed, require_two=True, **options)
 
 
 def space_grid(space: dict, n_trials: int) -> dict[str, list]:
@@ -168,8 +178,16 @@ def space_grid(space: dict, n_trials: int) -> dict[str, list]:
 
 
 def tune_grid(
-    df: DataFrame, algorithm: str, *, key: Sequence[str], n_trials: int = 50, space: dict | None = None, **options
+    df: DataFrame,
+    algorithm: str,
+    *,
+    key: Sequence[str],
+    n_trials: int = 50,
+    space: dict | None = None,
+    ready: bool = False,
+    **options,
 ) -> Search:
     """The full grid over the space; one-cluster results do not count."""
     lists = space_grid(space or SPACES[algorithm], n_trials)
-    return run_trials(materialise(df), [(algorithm, p) for p in grid(lists)], key=key, require_two=True, **options)
+    todo = [(algorithm, p) for p in grid(lists)]
+    return run_trials(df if ready else materialise(df), todo, key=key, require_two=True, **options)

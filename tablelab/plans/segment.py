@@ -97,12 +97,12 @@ def segment_table(
         projection = assemble(features, VECTOR)
     vectors = projection.transform(as_doubles(inputs, features)).select(*[ref(k) for k in key], ref(VECTOR))
     frame = materialise(vectors)
-    search = compare_clusterings(frame, algorithms, key=key, metric=metric, mode=mode, seed=seed, vector=VECTOR)
+    search = compare_clusterings(frame, algorithms, key=key, metric=metric, mode=mode, seed=seed, vector=VECTOR, ready=True)
     if tune:
         tuner = tune_grid if tune_with == "grid" else tune_random
         tuned = tuner(
             frame, tune, key=key, n_trials=tune_trials, space=tune_space, metric=metric, mode=mode, seed=seed,
-            vector=VECTOR, first_number=len(search.trials),
+            vector=VECTOR, first_number=len(search.trials), ready=True,
         )
         search = Search([*search.trials, *tuned.trials], metric)
     best = search.best()
