@@ -109,16 +109,15 @@ def fit_forest(
         paths = np.array([p for _, p in leaves])
         return pd.DataFrame({"column": column, "start": starts, "change": np.diff(paths, prepend=0.0)})
 
-    steps = (
-        sampled.groupBy("column", "tree")
-        .applyInPandas(grow, "column string, start double, change double")
-        .groupBy("column", "start")
-        .agg(F.sum("change").alias("change"))
-        .collect()
-    )
+    # At most ``max_samples`` leaves per tree reach the driver.
+    leaves = sampled.groupBy("column", "tree").applyInPandas(grow, "column string, start double, change double").collect()
+    changes: dict[str, dict[float, list[float]]] = {c: {} for c in columns}
+    for leaf in leaves:
+        changes[leaf["column"]].setdefault(leaf["start"], []).append(leaf["change"])
     fits = []
     for c in columns:
-        mine = sorted((r["start"], r["change"]) for r in steps if r["column"] == c)
+        # Exact sums, so that the order in which tasks finish leaves no trace.
+        mine = sorted((start, math.fsum(parts)) for start, parts in changes[c].items())
         depth = np.cumsum([d for _, d in mine]) / n_estimators
         scale = mean_path(wanted[c]) or 1.0
         fits.append(ForestFit(c, n[c], [float(x) for x, _ in mine[1:]], [float(2.0 ** (-d / scale)) for d in depth]))

@@ -35,7 +35,7 @@ def groups():
 def vectors(spark, groups):
     features = ["age", "income", "spending", "frequency"]
     scaled = (groups[features] - groups[features].mean()) / groups[features].std(ddof=0)
-    pdf = pd.DataFrame({"customer_id": groups["customer_id"], "true_cluster": groups["true_cluster"], "point": list(scaled.to_numpy())})
+    pdf = pd.DataFrame({"customer_id": groups["customer_id"], "true_cluster": groups["true_cluster"], "point": scaled.to_numpy().tolist()})
     df = spark.createDataFrame(pdf, "customer_id long, true_cluster int, point array<double>")
     return df.withColumn("features", array_to_vector("point")).repartition(3).cache()
 
@@ -137,7 +137,7 @@ def test_silhouette_matches_brute_force(spark, cell_rows):
     x[30:80] = x[30]  # many equal points in one cluster
     labels = np.where(np.arange(150) < 110, 0, rng.integers(1, 4, 150))
     labels[149] = 9  # a cluster of one row
-    pdf = pd.DataFrame({"id": [f"r{i}" for i in range(150)], "c": labels, "p": list(x)})
+    pdf = pd.DataFrame({"id": [f"r{i}" for i in range(150)], "c": labels, "p": x.tolist()})
     df = spark.createDataFrame(pdf, "id string, c int, p array<double>")
     pts = quality.points_from_array(df, "p", "c", ["id"])
     m = quality.cluster_moments(pts)
