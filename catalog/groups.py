@@ -75,6 +75,7 @@ ALGORITHMS = {
     "kmeans": {"n_clusters": [3, 4, 5, 6], "init": ["k-means++"], "n_init": [2], "max_iter": [300]},
     "gmm": {"n_components": [3, 4, 5], "covariance_type": ["full", "tied"], "max_iter": [30]},
 }
+LINE_ID = ["l_orderkey", "l_linenumber", "l_partkey"]
 FRAME_KEY = ["c_custkey"]
 FRAME_COLUMNS = ["c_acctbal", "n_orders", "total_price", "mean_discount"]
 
@@ -82,8 +83,8 @@ FRAME_COLUMNS = ["c_acctbal", "n_orders", "total_price", "mean_discount"]
 def _line_frame(spark, sf):
     """Standardised lineitem measures as model vectors."""
     names = ["l_quantity", "l_extendedprice", "l_discount"]
-    rows = scale(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *names), "standard", names)
-    return materialise(reduce.assemble(names, "features").transform(rows).select("l_orderkey", "l_linenumber", "features"))
+    rows = scale(table(spark, sf, "lineitem").select(*LINE_ID, *names), "standard", names)
+    return materialise(reduce.assemble(names, "features").transform(rows).select(*LINE_ID, "features"), LINE_ID)
 
 
 def _customer_frame(spark, sf):
@@ -91,7 +92,7 @@ def _customer_frame(spark, sf):
     rows = customer_features(spark, sf).where(F.col("n_orders").isNotNull() & F.col("mean_discount").isNotNull())
     rows = scale(rows.select(*FRAME_KEY, *FRAME_COLUMNS), "standard", FRAME_COLUMNS)
     made = reduce.assemble(FRAME_COLUMNS, "features").transform(rows.select(*FRAME_KEY, *[F.col(c).cast("double").alias(c) for c in FRAME_COLUMNS]))
-    return materialise(made.select(*FRAME_KEY, "features"))
+    return materialise(made.select(*FRAME_KEY, "features"), FRAME_KEY)
 
 
 def _groups(frame, fitted):

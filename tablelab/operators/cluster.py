@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from tablelab.functions.columns import number, ref
 from tablelab.operators.hierarchy import merge_centres
 from tablelab.operators.mixture import Mixture, fit_mixture
+from tablelab.session import in_parallel
 
 # Names of the start rules and what the Spark estimator calls them.
 INIT_MODES = {"k-means++": "k-means||", "k-means||": "k-means||", "random": "random"}
@@ -67,21 +69,23 @@ def fit_kmeans(
     max_iter: int = 300,
     seed: int = 42,
     vector: str = "features",
+    parallelism: int = 4,
 ) -> Clustering:
     """Best of ``n_init`` seeded restarts by within-cluster cost.
 
     ``df`` is scanned by every restart; pass a materialised frame.
+    ``parallelism`` restarts run side by side.
     """
     if init not in INIT_MODES:
         raise ValueError(f"unknown init {init!r}, expected one of {tuple(INIT_MODES)}")
     rows = vectors_only(df, vector)
-    best = None
-    for attempt in range(n_init):
-        model = KMeans(
-            k=k, initMode=INIT_MODES[init], maxIter=max_iter, seed=seed + attempt, featuresCol=vector, predictionCol="__raw"
-        ).fit(rows)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
+    estimator = KMeans(k=k, initMode=INIT_MODES[init], maxIter=max_iter, featuresCol=vector, predictionCol="__raw")
+
+    def attempt(number: int):
+        return estimator.copy({estimator.seed: seed + number}).fit(rows)
+
+    models = in_parallel([partial(attempt, i) for i in range(n_init)], parallelism)
+    best = min(models, key=lambda m: m.summary.trainingCost)
     relabel = order_labels(np.array(best.clusterCenters()), best.summary.clusterSizes)
     params = {"n_clusters": k, "init": init, "n_init": n_init, "max_iter": max_iter}
     return Clustering("kmeans", params, best, relabel, vector, {"inertia": best.summary.trainingCost})

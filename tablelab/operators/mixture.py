@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 COVARIANCES = ("full", "tied", "diag", "spherical")
@@ -50,12 +50,10 @@ class Mixture:
         mixture = self
 
         @F.pandas_udf("int")
-        def most_likely(rows: pd.Series) -> pd.Series:
-            if len(rows) == 0:
-                return pd.Series([], dtype="int32")
-            return pd.Series(mixture.log_densities(np.stack(rows.to_list())).argmax(axis=1).astype("int32"))
+        def most_likely(*x: pd.Series) -> pd.Series:
+            return pd.Series(mixture.log_densities(np.column_stack(x)).argmax(axis=1).astype("int32"))
 
-        return df.withColumn(output, most_likely(F.col(points)))
+        return df.withColumn(output, most_likely(*_coordinates(points, self.means.shape[1])))
 
     def to_json(self) -> str:
         return json.dumps(
@@ -75,6 +73,11 @@ class Mixture:
         return cls(d["covariance_type"], *arrays, log_likelihood=d["log_likelihood"])
 
 
+def _coordinates(points: str, dims: int) -> list[Column]:
+    """The array as plain double columns, which reach Python as NumPy blocks."""
+    return [F.get(points, F.lit(i)).alias(f"x{i}") for i in range(dims)]
+
+
 def fit_mixture(
     df: DataFrame,
     k: int,
@@ -123,7 +126,7 @@ def _sums(df, points, k, origin, *, mixture: Mixture | None = None, centers: np.
         for batch in batches:
             if len(batch) == 0:
                 continue
-            x = np.stack(batch[points].to_list())
+            x = batch.to_numpy(dtype=float)
             if mixture is None:
                 nearest = ((x[:, None, :] - centers[None]) ** 2).sum(axis=2).argmin(axis=1)
                 r = np.eye(k)[nearest]
@@ -148,7 +151,7 @@ def _sums(df, points, k, origin, *, mixture: Mixture | None = None, centers: np.
         yield pd.DataFrame({**positions, "v": flat.ravel()}).astype({"j": "int32", "pos": "int32"})
 
     # One row per component and position keeps the plan the same for any width.
-    parts = df.select(points).mapInPandas(partial, "j int, pos int, v double")
+    parts = df.select(*_coordinates(points, d)).mapInPandas(partial, "j int, pos int, v double")
     flat = np.zeros((k, 3 + d + d * d))
     for r in parts.groupBy("j", "pos").agg(F.sum("v").alias("v")).collect():
         flat[r["j"], r["pos"]] = r["v"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import partial
 from itertools import product
 
 import numpy as np
@@ -13,8 +14,9 @@ from pyspark.sql import functions as F
 
 from tablelab.operators.cluster import LABEL, Clustering, fit_algorithm
 from tablelab.operators.quality import EXACT_ROWS, cluster_metrics, points_from_vector
-from tablelab.session import materialise
+from tablelab.session import in_parallel, materialise
 
+PARALLELISM = 4
 HIGHER_IS_BETTER = {"silhouette": True, "calinski_harabasz": True, "davies_bouldin": False}
 
 # The default search space of each algorithm.
@@ -98,15 +100,20 @@ def run_trials(
     vector: str = "features",
     first_number: int = 0,
     require_two: bool = False,
+    parallelism: int = PARALLELISM,
 ) -> Search:
-    """Fit and measure each ``(algorithm, params)``; a failed one is kept with its message."""
+    """Fit and measure each ``(algorithm, params)``; a failed one is kept with its message.
+
+    ``parallelism`` trials submit their jobs side by side, so that the short
+    stages of one fit fill the gaps of another.
+    """
     if metric not in HIGHER_IS_BETTER:
         raise ValueError(f"unknown metric {metric!r}, expected one of {tuple(HIGHER_IS_BETTER)}")
     if mode == "auto":
         mode = "euclidean" if df.count() <= EXACT_ROWS else "squared"
-    trials = []
-    for i, (algorithm, params) in enumerate(todo):
-        trial = Trial(first_number + i, algorithm, params)
+
+    def attempt(number: int, algorithm: str, params: dict) -> Trial:
+        trial = Trial(number, algorithm, params)
         try:
             clustering = fit_algorithm(df, algorithm, params, seed=seed, vector=vector)
             labelled = points_from_vector(clustering.transform(df), vector, LABEL, key)
@@ -117,8 +124,10 @@ def run_trials(
                 trial.clustering = clustering
         except Exception as problem:  # one bad parameter set must not end the search
             trial.error = f"{type(problem).__name__}: {str(problem).splitlines()[0][:300]}"
-        trials.append(trial)
-    return Search(trials, metric)
+        return trial
+
+    tasks = [partial(attempt, first_number + i, algorithm, params) for i, (algorithm, params) in enumerate(todo)]
+    return Search(in_parallel(tasks, parallelism), metric)
 
 
 def compare_clusterings(
@@ -126,7 +135,7 @@ def compare_clusterings(
 ) -> Search:
     """All grid points of all algorithms on one materialised frame (``ready`` if it is one)."""
     todo = [(name, params) for name, lists in algorithms.items() for params in grid(lists)]
-    return run_trials(df if ready else materialise(df), todo, key=key, **options)
+    return run_trials(df if ready else materialise(df, key), todo, key=key, **options)
 
 
 def draw_params(space: dict, rng: np.random.Generator) -> dict:
@@ -158,7 +167,7 @@ def tune_random(
     rng = np.random.default_rng(seed)
     chosen = space or SPACES[algorithm]
     todo = [(algorithm, draw_params(chosen, rng)) for _ in range(n_trials)]
-    return run_trials(df if ready else materialise(df), todo, key=key, seed=seed, require_two=True, **options)
+    return run_trials(df if ready else materialise(df, key), todo, key=key, seed=seed, require_two=True, **options)
 
 
 def space_grid(space: dict, n_trials: int) -> dict[str, list]:
@@ -190,4 +199,4 @@ def tune_grid(
     """The full grid over the space; one-cluster results do not count."""
     lists = space_grid(space or SPACES[algorithm], n_trials)
     todo = [(algorithm, p) for p in grid(lists)]
-    return run_trials(df if ready else materialise(df), todo, key=key, require_two=True, **options)
+    return run_trials(df if ready else materialise(df, key), todo, key=key, require_two=True, **options)

@@ -96,7 +96,7 @@ def segment_table(
         check_complete(inputs, features)
         projection = assemble(features, VECTOR)
     vectors = projection.transform(as_doubles(inputs, features)).select(*[ref(k) for k in key], ref(VECTOR))
-    frame = materialise(vectors)
+    frame = materialise(vectors, key)
     search = compare_clusterings(frame, algorithms, key=key, metric=metric, mode=mode, seed=seed, vector=VECTOR, ready=True)
     if tune:
         tuner = tune_grid if tune_with == "grid" else tune_random

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from tablelab.functions.columns import ref
+
 
 def scratch_root(spark: SparkSession) -> str:
     """Folder shared by driver and executors, named by ``spark.checkpoint.dir``.
@@ -27,14 +32,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, spread_by: Sequence[str] = ()) -> DataFrame:
     """Write the frame once to shared storage and cut its lineage.
 
     Used before loops that scan the same frame many times. A lost executor
-    costs a re-read of the written files, not a recomputation.
+    costs a re-read of the written files, not a recomputation. ``spread_by``
+    (a row key) first evens out the partitions, so that no scan of the loop
+    waits for one large file or one half-empty filter result; adaptive
+    execution picks their number.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if not context.getCheckpointDir():
         context.setCheckpointDir(scratch_root(spark))
+    if spread_by:
+        df = df.repartition(*[ref(c) for c in spread_by])
     return df.checkpoint(eager=True)
+
+
+def in_parallel(tasks: Sequence[Callable], parallelism: int) -> list:
+    """Run driver functions that submit Spark jobs side by side, results in order."""
+    if parallelism <= 1 or len(tasks) <= 1:
+        return [task() for task in tasks]
+    with ThreadPool(min(parallelism, len(tasks))) as pool:
+        return pool.map(lambda task: task(), [inheritable_thread_target(t) for t in tasks])
