@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from catalog.base import FEATURES, customer_features, query, r, rounded, table
 from tablelab.operators import cluster, quality, reduce, search, segments
 from tablelab.operators.scale import scale
-from tablelab.plans import prepare, segment, store
+from tablelab.plans import export, prepare, segment, store
 from tablelab.session import materialise, scratch_path
 
 # ---- principal components
@@ -472,6 +472,21 @@ def x02(spark, sf):
     return found.search.table(spark)
 
 
+@query("x02_export_reports")
+def x02_export(spark, sf):
+    rows = table(spark, sf, "customer").drop("c_name")
+    found = _small_run(spark, sf, rows)
+    inputs = found.model.preparation.transform(rows)
+    written = export.export_segmentation(found, inputs, scratch_path(spark, "run"))
+    out = None
+    for name, path in sorted(written.items()):
+        if name == "model":
+            continue
+        part = spark.read.option("header", True).csv(path).agg(F.count(F.lit(1)).alias("rows")).withColumn("report", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def flagship(spark, sf):
     report = segment.segment_end_to_end(
         customer_features(spark, sf),

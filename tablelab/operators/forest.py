@@ -158,16 +158,22 @@ def _draw(df, columns, key, n, wanted, trees, seed) -> DataFrame:
 
 def _summarise(df: DataFrame, fits: Sequence[ForestFit], contamination) -> None:
     """Outlier counts and score statistics from one count of rows per step."""
-    steps = {f.column: F.when(number(df, f.column).isNotNull(), f.step(number(df, f.column))) for f in fits}
-    counted = (
-        long_form(df, steps)
-        .where(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .collect()
-    )
+    breaks = {f.column: np.array(f.breaks) for f in fits}
+
+    def partial(batches):
+        counts = {c: np.zeros(len(b) + 1, dtype="int64") for c, b in breaks.items()}
+        for batch in batches:
+            for c, b in breaks.items():
+                v = batch[c].to_numpy(dtype=float)
+                counts[c] += np.bincount(np.searchsorted(b, v[~np.isnan(v)], side="right"), minlength=len(b) + 1)
+        for c, n in counts.items():
+            used = np.flatnonzero(n)
+            yield pd.DataFrame({"column": c, "step": used.astype("int32"), "n": n[used]})
+
+    parts = df.select(*[number(df, c).alias(c) for c in breaks]).mapInPandas(partial, "column string, step int, n bigint")
+    counted = parts.groupBy("column", "step").agg(F.sum("n").alias("n")).collect()
     for f in fits:
-        mine = [(f.scores[r["value"]], r["n"]) for r in counted if r["column"] == f.column]
+        mine = [(f.scores[r["step"]], r["n"]) for r in counted if r["column"] == f.column]
         score = np.array([s for s, _ in mine])
         weight = np.array([w for _, w in mine], dtype=float)
         order = np.argsort(score)

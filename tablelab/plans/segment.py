@@ -132,7 +132,12 @@ def segment_end_to_end(
     prepare_options: dict | None = None,
     **options,
 ) -> Report:
-    """Prepare, segment, and describe the groups on the original values."""
+    """Prepare, segment, and describe the groups on the original values.
+
+    The source is materialised once: it is often a join, and every fitting step
+    and the final description read it again.
+    """
+    source = materialise(source, key)
     preparation = fit_preparation(source, key, **(prepare_options or {}))
     prepared = preparation.transform(source)
     found = segment_table(prepared, key, algorithms, drop=drop, preparation=preparation, **options)
