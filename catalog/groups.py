@@ -461,6 +461,18 @@ def x01(spark, sf):
     return rounded(prepared.drop("o_orderdate"))
 
 
+@query("x01_export_reports")
+def x01_export(spark, sf):
+    orders = _order_gaps(spark, sf)
+    preparation = prepare.fit_preparation(orders, ["o_orderkey"], outlier_method="iqr")
+    written = export.export_preparation(orders, preparation, scratch_path(spark, "prepared"))
+    out = None
+    for name, path in sorted(written.items()):
+        part = spark.read.option("header", True).csv(path).agg(F.count(F.lit(1)).alias("rows")).withColumn("report", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("x02_segment_table")
 def x02(spark, sf):
     prepared, preparation = prepare.prepare_table(table(spark, sf, "customer").drop("c_name"), ["c_custkey"], outlier_method="iqr")

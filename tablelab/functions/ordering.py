@@ -127,24 +127,17 @@ def ordered_fill(
     if not bounds:
         return windowed.select(*filled(lambda i, d: []))
 
-    position = F.struct(*[ref(k) for k in order_by])
     summary = marked
     if partition_by:
         # Only a partition value named by a boundary can lie in two buckets.
-        split = [
-            all_of([same(ref(p), F.lit(v).cast(df.schema[p].dataType)) for p, v in zip(partition_by, bound)])
-            for bound in {b[: len(partition_by)] for b in bounds}
-        ]
-        condition = split[0]
-        for s in split[1:]:
-            condition = condition | s
-        summary = marked.where(condition)
-    picks = []
-    for i, c in enumerate(columns):
-        has = F.when(values[c].isNotNull(), position)
-        for d in directions:
-            pick = F.max_by if d == "forward" else F.min_by
-            picks.append(pick(values[c], has).alias(f"__edge_{d}_{i}"))
+        named = sorted({b[: len(partition_by)] for b in bounds}, key=str)
+        text = df.sparkSession.createDataFrame(named, ", ".join(f"__s{i} string" for i in range(len(partition_by))))
+        split = text.select(*[F.col(f"__s{i}").cast(df.schema[p].dataType) for i, p in enumerate(partition_by)])
+        on = all_of([same(ref(p), F.col(f"__s{i}")) for i, p in enumerate(partition_by)])
+        summary = marked.join(F.broadcast(split), on, "left_semi")
+    picks = [
+        _edge(values[c], order_by, d).alias(f"__edge_{d}_{i}") for i, c in enumerate(columns) for d in directions
+    ]
     edges = summary.groupBy(BUCKET, *[ref(p) for p in partition_by]).agg(*picks)
     across = Window.partitionBy(*[ref(p) for p in partition_by])
     carries = []
@@ -165,6 +158,20 @@ def ordered_fill(
     return joined.select(*filled(lambda i, d: [F.col(f"__carry_{d}_{i}")]))
 
 
+def _edge(value: Column, order_by: Sequence[str], direction: str) -> Column:
+    """Last (first) non-missing value of a bucket; rows without a key come first.
+
+    A single key is compared as it is, so that number columns aggregate by hash.
+    """
+    pick = F.max_by if direction == "forward" else F.min_by
+    has = value.isNotNull()
+    if len(order_by) > 1:
+        return pick(value, F.when(has, F.struct(*[ref(k) for k in order_by])))
+    key = ref(order_by[0])
+    keyed, unkeyed = pick(value, F.when(has, key)), F.max(F.when(key.isNull(), value))
+    return F.coalesce(keyed, unkeyed) if direction == "forward" else F.coalesce(unkeyed, keyed)
+
+
 def global_row_number(
     df: DataFrame,
     order_by: Sequence[str],

@@ -85,12 +85,13 @@ def label_dictionary(
     df: DataFrame, column: str, order_by: Sequence[str], distinct: int, rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
     """``(value, n, code)``; first appearances are ranked without a single-task window."""
-    firsts = (
-        df.where(ref(column).isNotNull())
-        .groupBy(ref(column).alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*[ref(k).alias(f"k{i}") for i, k in enumerate(order_by)])).alias("first"))
-        .select("value", "n", *[F.col(f"first.k{i}").alias(f"k{i}") for i in range(len(order_by))])
-    )
+    groups = df.where(ref(column).isNotNull()).groupBy(ref(column).alias("value"))
+    n = F.count(F.lit(1)).alias("n")
+    if len(order_by) == 1:
+        firsts = groups.agg(n, F.min(ref(order_by[0])).alias("k0"))
+    else:
+        first = F.min(F.struct(*[ref(k).alias(f"k{i}") for i, k in enumerate(order_by)])).alias("first")
+        firsts = groups.agg(n, first).select("value", "n", "first.*")
     keys = [*[f"k{i}" for i in range(len(order_by))], "value"]
     if distinct > rows_per_bucket:
         firsts = materialise(firsts)

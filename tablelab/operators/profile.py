@@ -159,9 +159,12 @@ def duplicate_rows(df: DataFrame, key: Sequence[str], columns: Sequence[str] | N
     to meet in one task.
     """
     names = list(columns) if columns is not None else [c for c in df.columns if c not in key]
-    first = F.min(F.struct(*[ref(k).alias(f"__k{i}") for i, k in enumerate(key)])).alias("__first")
-    groups = df.groupBy(*[clean(df, c).alias(f"__g{i}") for i, c in enumerate(names)]).agg(first)
-    keep = groups.select(*[F.col(f"__first.__k{i}").alias(f"__k{i}") for i in range(len(key))])
+    groups = df.groupBy(*[clean(df, c).alias(f"__g{i}") for i, c in enumerate(names)])
+    if len(key) == 1:
+        keep = groups.agg(F.min(ref(key[0])).alias("__k0")).select("__k0")
+    else:
+        first = F.min(F.struct(*[ref(k).alias(f"__k{i}") for i, k in enumerate(key)])).alias("__first")
+        keep = groups.agg(first).select("__first.*")
     match = F.lit(True)
     for i, k in enumerate(key):
         match = match & (ref(k) == F.col(f"__k{i}"))

@@ -54,5 +54,6 @@ def in_parallel(tasks: Sequence[Callable], parallelism: int) -> list:
     """Run driver functions that submit Spark jobs side by side, results in order."""
     if parallelism <= 1 or len(tasks) <= 1:
         return [task() for task in tasks]
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPool(min(parallelism, len(tasks))) as pool:
-        return pool.map(lambda task: task(), [inheritable_thread_target(t) for t in tasks])
+        return pool.map(lambda task: task(), [inherit(t) for t in tasks])

@@ -23,17 +23,34 @@ def read_csv(
     """CSV with a header row. Cells holding one of ``na_words`` are missing.
 
     Typed columns are read as text first, so that ``NA`` in a number column
-    becomes NULL instead of making the line malformed.
+    becomes NULL instead of making the line malformed. Without a schema one
+    scan finds integer, double and boolean columns; the rest stays text, and
+    dates become timestamps only through ``parse_timestamp``.
     """
     reader = spark.read.option("header", True).option("escape", '"').options(**options)
     if schema is None:
-        return _blank_na(reader.option("inferSchema", True).csv(path), na_words)
+        return _infer_types(_blank_na(reader.csv(path), na_words))
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in wanted.fields])
     raw = _blank_na(reader.schema(as_text).csv(path), na_words)
     return raw.select(*[ref(f.name).try_cast(f.dataType).alias(f.name) for f in wanted.fields])
 
 
+def _infer_types(text: DataFrame) -> DataFrame:
+    candidates = ("bigint", "double", "boolean")
+    counts = []
+    for i, c in enumerate(text.columns):
+        counts.append(F.count(ref(c)).alias(f"n{i}"))
+        counts += [F.count(ref(c).try_cast(t)).alias(f"{t}{i}") for t in candidates[:2]]
+        counts.append(F.count(F.when(F.lower(ref(c)).isin("true", "false"), 1)).alias(f"boolean{i}"))
+    row = text.agg(*counts).first()
+    out = []
+    for i, c in enumerate(text.columns):
+        fits = [t for t in candidates if row[f"n{i}"] and row[f"{t}{i}"] == row[f"n{i}"]]
+        out.append(ref(c).cast(fits[0]).alias(c) if fits else ref(c))
+    return text.select(*out)
+
+
 def _blank_na(df: DataFrame, na_words: Sequence[str]) -> DataFrame:
     text = set(string_columns(df))
     return df.select(

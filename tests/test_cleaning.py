@@ -24,6 +24,14 @@ def test_csv_reads_na_words_and_bad_numbers_as_missing(spark, tmp_path):
     assert [tuple(r) for r in rows] == [(1, None, 'a "b"'), (2, 2.5, None), (3, None, "plain")]
 
 
+def test_csv_types_are_found_around_na_words(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("i,x,b,s,e,d\n1,NA,true,a,,2024-01-01\nnull,2.5,False,3,NA,2024-01-02\n")
+    df = files.read_csv(spark, str(path))
+    assert [t for _, t in df.dtypes] == ["bigint", "double", "boolean", "string", "string", "string"]
+    assert df.where("i IS NULL").count() == 1 and df.where("b").count() == 1
+
+
 def test_json_array_of_records(spark, tmp_path):
     path = tmp_path / "t.json"
     path.write_text('[{"a": 1, "b": "x"},\n {"a": 2, "b": null}]')

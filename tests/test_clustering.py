@@ -238,3 +238,22 @@ def test_target_column_is_set_aside(spark, groups):
 def test_vectors_helper_round_trip(vectors):
     row = vectors.select("point", vector_to_array("features").alias("back")).first()
     assert list(row["point"]) == list(row["back"])
+
+
+def test_reports_of_a_run_read_back(spark, groups, tmp_path):
+    from tablelab.plans import export
+    from tablelab.sources.files import read_csv
+
+    df = spark.createDataFrame(groups).drop("true_cluster").withColumn("odd", F.col("frequency") % 2 == 1)
+    prep = prepare.fit_preparation(df, ["customer_id"], outlier_method="iqr")
+    written = export.export_preparation(df, prep, str(tmp_path / "prep"))
+    assert read_csv(spark, written["processed_data"]).count() == 500
+    assert read_csv(spark, written["steps"]).count() == 5
+    inputs = prep.transform(df)
+    found = segment.segment_table(inputs, ["customer_id"], {"kmeans": {"n_clusters": [2, 3], "n_init": [1]}}, preparation=prep)
+    written = export.export_segmentation(found, inputs, str(tmp_path / "run"))
+    assert read_csv(spark, written["trials"]).count() == 2
+    labels = read_csv(spark, written["predictions"])
+    assert labels.count() == 500 and dict(labels.dtypes)["cluster"] == "bigint"
+    top = read_csv(spark, written["feature_importance"])
+    assert top.count() == len(found.model.features)
