@@ -386,7 +386,7 @@ def _scale_sql(center, width):
     cells = ", ".join(
         f"round(({c} - {center.format(c=c)}) / {width.format(c=c)}, 6) + 0.0 AS {c}" for c in SCALED
     )
-    return f"SELECT l_orderkey, l_linenumber, {cells}, 0.0 + 0.0 AS fixed FROM lineitem"
+    return f"SELECT l_orderkey, l_linenumber, {cells}, CAST(0 AS DOUBLE) AS fixed FROM lineitem"
 
 
 def _scaled(spark, sf, method):
