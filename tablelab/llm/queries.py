@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelab.llm import decontaminate, language, neardup, packing, secrets
+from tablelab.llm import decontaminate, exact_search, extract, language, neardup, packing, quality, secrets
 from tablelab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_html_extraction")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op2_minhash_forest")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -70,4 +75,25 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+@query("op9_quality_rules")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.classify(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+OP10_SQL = """
+WITH v AS (SELECT vec_id, row_number() OVER () AS rid, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, q.rid AS qid, c.vec_id AS vec_id,
+  CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.rid <> c.rid AND len(q.v) = len(c.v)),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
+@query("op10_exact_topk", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
 __all__ = ["F", "ORACLE", "QUERIES"]
