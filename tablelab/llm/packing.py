@@ -113,8 +113,8 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = SIZE, end_id: int = E
     documents follows the order in which the table is read.
     """
     tokens = stored(tokenised(docs, tokenizer_path, end_id, doc_id, text), "tokens")
-    # One row of two numbers per task of the first pass: broadcast by Spark when small, else shuffled.
-    placed = tokens.join(part_offsets(tokens), "part")
+    # One row of two numbers per task of the first pass, stored so that Spark knows its size: broadcast when small, else shuffled.
+    placed = tokens.join(stored(part_offsets(tokens), "offsets"), "part")
     schema = T.StructType(
         [
             T.StructField("doc_id", tokens.schema["doc_id"].dataType),

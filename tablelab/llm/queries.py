@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelab.llm import decontaminate, exact_search, extract, language, neardup, packing, quality, secrets
+from tablelab.llm import decontaminate, exact_search, extract, language, licenses, neardup, packing, quality, secrets, toolcalls
 from tablelab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,11 +40,22 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
 
 
+@query("op4_tool_calls")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of the table; user turns become calls, assistant turns their results."""
+    return toolcalls.link(toolcalls.from_turns(table(spark, sf_dir, "conversations")), toolcalls.TURN_SCHEMAS)
+
+
 @query("op5_secret_scan")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents")).drop("found")
 
 
+@query("op6_license_scan")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(table(spark, sf_dir, "documents"))
+
+
 @query("op7_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
