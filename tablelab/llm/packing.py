@@ -9,6 +9,7 @@ is summed across tasks; ids never cross the network.
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -19,7 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from tablelab.llm.common import chunks, pick, stored, texts_of
+from tablelab.llm.common import LOWER, chunks, pick, stored, texts_of
+
+# Spark's tasks are the threads; this is read when a worker first encodes.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 SIZE = 2048
 END_ID = 1
@@ -29,29 +33,48 @@ BLOCK = 1024
 _loaded: dict[str, ChunkIds] = {}
 
 
-class ChunkIds(dict):
-    """Ids of a piece of text without space or line feed, as bytes; emptied at ``limit`` pieces.
+class ChunkIds:
+    """Ids of texts as bytes, by way of their pieces without space or line feed.
 
-    The tokenizer drops white space and merges only within words, so the ids of
-    a text are those of its pieces in order; most pieces occur again and again.
+    The tokenizer lower-cases, drops white space and merges only within words,
+    so the ids of a text are those of its pieces in order, and most pieces
+    occur again and again. A mark at the end of a piece, behind a letter, is a
+    word of its own. Pieces not seen yet are encoded together; the store is
+    emptied when it holds ``limit`` pieces. A text that may name a special
+    token is encoded as it is.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 600_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.limit = limit
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
-        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        value = np.array(ids, self.kind).tobytes()
-        if len(piece) <= 64:
-            self[piece] = value
-        return value
-
-    def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        self.held: dict[str, bytes] = {}
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
+
+    @staticmethod
+    def _core(piece: str) -> str:
+        """The piece without a closing mark; the mark starts no word with what stands before it."""
+        return piece[:-1] if len(piece) > 1 and piece[-1] in ".,;:!?" and piece[-2].isalpha() and piece[-2] != "\u0130" else piece
+
+    def _learn(self, pieces: set[str]) -> None:
+        core = {p: self._core(p) for p in pieces}
+        new = list({*core.values(), *(p[-1] for p, c in core.items() if c != p)} - self.held.keys())
+        if new:
+            for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+                self.held[piece] = self._bytes(found.ids)
+        for piece, c in core.items():
+            if c != piece:
+                self.held[piece] = self.held[c] + self.held[piece[-1]]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.held) > self.limit:
+            self.held.clear()
+        split = [None if "<|" in t else t.encode("utf-8").translate(LOWER).decode("utf-8").replace("\n", " ").split(" ") for t in texts]
+        self._learn(set().union(*[x for x in split if x]) - self.held.keys())
+        held = self.held.__getitem__
+        return [self._bytes(self.tokenizer.encode(t, add_special_tokens=False).ids) if x is None else b"".join(map(held, x)) for t, x in zip(texts, split)]
 
 
 def _tokenizer(path: str) -> ChunkIds:
@@ -79,7 +102,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, doc_id
         kind, part, before = ids_of.kind, TaskContext.get().partitionId(), 0
         end = np.array([end_id], kind).tobytes()
         for batch in chunks(batches):
-            ids = [ids_of.encode(t) + end for t in texts_of(batch)]
+            ids = [x + end for x in ids_of.encode(texts_of(batch))]
             counts = np.array([len(x) // kind.itemsize for x in ids], np.int64)
             starts = before + np.cumsum(counts) - counts
             before += int(counts.sum())
