@@ -132,8 +132,12 @@ class Templates:
             if found:
                 i, saved, same, exact, missing, added = found
                 out.append(Match(self.templates[i][0], i, start, end, saved, same, exact, missing, added))
-        whole = [m for m in out if not any(o is not m and o.start <= m.start and m.end <= o.end and (o.end - o.start) > (m.end - m.start) for o in out)]
-        return sorted(whole, key=lambda m: (m.start, m.end))
+        # Of overlapping blocks the one whose wording differs least stands for the notice.
+        kept: list[Match] = []
+        for m in sorted(out, key=lambda m: (len(m.missing) + len(m.added), m.start - m.end, m.start)):
+            if all(m.end <= o.start or o.end <= m.start for o in kept):
+                kept.append(m)
+        return sorted(kept, key=lambda m: m.start)
 
 
 def candidate_blocks(text: str) -> list[tuple[int, int]]:
