@@ -88,8 +88,8 @@ def _line_frame(spark, sf):
 
 
 def _customer_frame(spark, sf):
-    """Standardised features per customer, with customers that ordered."""
-    rows = customer_features(spark, sf).where(F.col("n_orders").isNotNull() & F.col("mean_discount").isNotNull())
+    """Standardised features per customer; one without orders has counts and sums of 0."""
+    rows = customer_features(spark, sf).na.fill(0)
     rows = scale(rows.select(*FRAME_KEY, *FRAME_COLUMNS), "standard", FRAME_COLUMNS)
     made = reduce.assemble(FRAME_COLUMNS, "features").transform(rows.select(*FRAME_KEY, *[F.col(c).cast("double").alias(c) for c in FRAME_COLUMNS]))
     return materialise(made.select(*FRAME_KEY, "features"), FRAME_KEY)

@@ -56,16 +56,24 @@ def range_bounds(
     share = min(1.0, 40.0 * buckets / total)
     draw = F.pmod(F.xxhash64(*[ref(k) for k in keys]), F.lit(1 << 30)) < int(share * (1 << 30))
     order = [ref(k).asc_nulls_first() for k in keys]
+    # Drawn keys come with their row counts, once each: about 40 per bucket, however many rows share one.
     sample = (
         df.select(*[ref(k) for k in keys])
         .where(draw)
+        .groupBy(*[ref(k) for k in keys])
+        .agg(F.count(F.lit(1)).alias("__n"))
         .orderBy(*order)
-        .select(*[ref(k).cast("string").alias(f"k{i}") for i, k in enumerate(keys)])
-        .limit(200 * max_buckets)
+        .select(*[ref(k).cast("string").alias(f"k{i}") for i, k in enumerate(keys)], "__n")
         .collect()
     )
-    cuts = [tuple(sample[round(i * len(sample) / buckets)]) for i in range(1, buckets)] if sample else []
-    return list(dict.fromkeys(cuts))
+    drawn = sum(r["__n"] for r in sample)
+    cuts, passed = [], 0
+    for r in sample:
+        # A cut before the first key of each further bucket's share.
+        if passed and passed * buckets // drawn > (len(cuts) and cuts[-1][1]):
+            cuts.append((tuple(r)[:-1], passed * buckets // drawn))
+        passed += r["__n"]
+    return [key for key, _ in cuts]
 
 
 def bucket_of(df: DataFrame, keys: Sequence[str], bounds: Sequence[tuple]) -> Column:

@@ -37,7 +37,7 @@ def add_date_part(df: DataFrame, column: str, part: str) -> DataFrame:
     return df.select("*", date_part(ref(column), part).alias(f"{column}_{part}"))
 
 
-def date_features(df: DataFrame, columns: Sequence[str] | None = None, limit: int = 2) -> DataFrame:
-    """All parts of the given columns, or of the first two date columns."""
+def date_features(df: DataFrame, columns: Sequence[str] | None = None, limit: int | None = None) -> DataFrame:
+    """All parts of the given columns, or of every date column; of the first ``limit`` ones on request."""
     names = list(columns) if columns is not None else datetime_columns(df)[:limit]
     return df.select("*", *[date_part(ref(c), p).alias(f"{c}_{p}") for c in names for p in PARTS])

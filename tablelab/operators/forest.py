@@ -85,7 +85,7 @@ def fit_forest(
     key: Sequence[str],
     *,
     n_estimators: int = 100,
-    max_samples: int | str = "auto",
+    max_samples: float | str = "auto",
     contamination: float | str = "auto",
     seed: int = 42,
 ) -> list[ForestFit]:
@@ -96,7 +96,7 @@ def fit_forest(
     columns = [c for c in columns if n[c] > 0]
     if not columns:
         return []
-    wanted = {c: min(256, n[c]) if max_samples == "auto" else min(int(max_samples), n[c]) for c in columns}
+    wanted = {c: _sample_size(max_samples, n[c]) for c in columns}
     sampled = _draw(df, columns, key, n, wanted, n_estimators, seed)
 
     def grow(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -125,6 +125,19 @@ def fit_forest(
     return fits
 
 
+def _sample_size(max_samples: float | str, n: int) -> int:
+    """Rows per tree: at most 256 for ``auto``, a share of the rows for a float, else the number itself."""
+    if max_samples == "auto":
+        return min(256, n)
+    if isinstance(max_samples, float):
+        if not 0 < max_samples <= 1:
+            raise ValueError(f"a share of rows lies above 0 and at most at 1, not {max_samples}")
+        return max(1, int(max_samples * n))
+    if max_samples < 1:
+        raise ValueError(f"max_samples must be positive, not {max_samples}")
+    return min(int(max_samples), n)
+
+
 def _draw(df, columns, key, n, wanted, trees, seed) -> DataFrame:
     """Rows ``(column, tree, value, draw)``, about ``OVERDRAW * wanted`` per tree.
 

@@ -299,8 +299,8 @@ def boxplot_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     return tidy(row, parts, ["column", "min", "q1", "median", "mean", "q3", "max", "iqr", "outliers"])
 
 
-def scatter_sample(df: DataFrame, columns: int = 6, limit: int | None = None, seed: int = 42) -> DataFrame:
-    """Complete rows over the first numeric columns; all of them unless ``limit`` is given."""
+def scatter_sample(df: DataFrame, columns: int | None = None, limit: int | None = None, seed: int = 42) -> DataFrame:
+    """Complete rows over all numeric columns, or the first ``columns`` ones; all rows unless ``limit`` is given."""
     names = numeric_columns(df)[:columns]
     rows = df.select(*[clean(df, c).alias(c) for c in names]).na.drop()
     if limit is None:

@@ -21,7 +21,7 @@ from tablelab.session import materialise
 
 MAX_LABELS = 10_000
 CELL_ROWS = 4096
-EXACT_ROWS = 200_000
+MODES = ("squared", "euclidean")
 CHUNK = 256
 
 
@@ -41,7 +41,8 @@ def points_from_array(df: DataFrame, column: str, label: str, key: Sequence[str]
 def _labelled(df: DataFrame, key: Sequence[str], label: str, cells: Column) -> DataFrame:
     """One ``id`` column from the key, so that partial sums can be added per row."""
     parts = [ref(k) for k in key]
-    row_id = parts[0] if len(parts) == 1 else F.concat_ws("\x1f", *[p.cast("string") for p in parts])
+    # JSON of the named parts: it leaves NULL parts out by name, so ('a', NULL) and (NULL, 'a') differ.
+    row_id = parts[0] if len(parts) == 1 else F.to_json(F.struct(*[p.cast("string").alias(f"k{i}") for i, p in enumerate(parts)]))
     return df.where(ref(label).isNotNull()).select(row_id.alias("id"), ref(label).alias("label"), cells.alias("point"))
 
 
@@ -248,16 +249,15 @@ def silhouette_squared(pts: DataFrame, m: Moments) -> float:
     return float(ClusteringEvaluator(featuresCol="features", predictionCol="c").evaluate(rows))
 
 
-def cluster_metrics(pts: DataFrame, *, mode: str = "auto", dims: int | None = None, cell_rows: int = CELL_ROWS) -> dict:
+def cluster_metrics(pts: DataFrame, *, mode: str = "squared", dims: int | None = None, cell_rows: int = CELL_ROWS) -> dict:
     """All metrics of one labelling. One cluster gives -1, infinity and 0.
 
-    ``mode`` is ``euclidean`` (exact, quadratic), ``squared`` (exact, linear)
-    or ``auto``: Euclidean up to ``EXACT_ROWS`` rows. The row count is the same
-    for all trials of a search, so they all use the same mode; it is recorded.
+    ``mode`` names the distance of the silhouette: ``squared`` (linear work) or
+    ``euclidean`` (quadratic work). Both use all rows, whatever their number.
     """
+    if mode not in MODES:
+        raise ValueError(f"unknown mode {mode!r}, expected one of {MODES}")
     m = cluster_moments(pts, dims)
-    if mode == "auto":
-        mode = "euclidean" if m.n.sum() <= EXACT_ROWS else "squared"
     measure = silhouette_squared(pts, m) if mode == "squared" else silhouette(pts, m, cell_rows=cell_rows)
     return {
         "n_clusters": m.k,

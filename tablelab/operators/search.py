@@ -9,14 +9,17 @@ from functools import partial
 from itertools import product
 
 import numpy as np
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablelab.operators.cluster import LABEL, Clustering, fit_algorithm
-from tablelab.operators.quality import EXACT_ROWS, cluster_metrics, points_from_vector
+from tablelab.operators.quality import cluster_metrics, points_from_vector
 from tablelab.session import in_parallel, materialise
 
 PARALLELISM = 4
+#: What a parameter set that does not fit the algorithm or the data raises.
+PARAMETER_ERRORS = (ValueError, TypeError, ArithmeticError, np.linalg.LinAlgError, IllegalArgumentException)
 HIGHER_IS_BETTER = {"silhouette": True, "calinski_harabasz": True, "davies_bouldin": False}
 
 # The default search space of each algorithm.
@@ -95,7 +98,7 @@ def run_trials(
     *,
     key: Sequence[str],
     metric: str = "silhouette",
-    mode: str = "auto",
+    mode: str = "squared",
     seed: int = 42,
     vector: str = "features",
     first_number: int = 0,
@@ -109,8 +112,6 @@ def run_trials(
     """
     if metric not in HIGHER_IS_BETTER:
         raise ValueError(f"unknown metric {metric!r}, expected one of {tuple(HIGHER_IS_BETTER)}")
-    if mode == "auto":
-        mode = "euclidean" if df.count() <= EXACT_ROWS else "squared"
 
     def attempt(number: int, algorithm: str, params: dict) -> Trial:
         trial = Trial(number, algorithm, params)
@@ -122,7 +123,7 @@ def run_trials(
                 trial.error = "one cluster"
             else:
                 trial.clustering = clustering
-        except Exception as problem:  # one bad parameter set must not end the search
+        except PARAMETER_ERRORS as problem:  # one bad parameter set must not end the search; a failed job must
             trial.error = f"{type(problem).__name__}: {str(problem).splitlines()[0][:300]}"
         return trial
 

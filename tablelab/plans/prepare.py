@@ -92,7 +92,7 @@ def fit_preparation(
         )
         out = prep.step("encode", out)
     if dates:
-        prep.dates = datetime_columns(out, fixed)[:2]
+        prep.dates = datetime_columns(out, fixed)
         out = prep.step("dates", out)
     if scale is not None:
         prep.scales = fit_scale(out, scale, exclude=fixed, exact=exact)

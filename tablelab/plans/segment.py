@@ -73,7 +73,7 @@ def segment_table(
     tune_space: dict | None = None,
     tune_with: str = "random",
     metric: str = "silhouette",
-    mode: str = "auto",
+    mode: str = "squared",
     seed: int = 42,
     preparation: Preparation | None = None,
 ) -> Segmentation:

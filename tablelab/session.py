@@ -16,13 +16,17 @@ from tablelab.functions.columns import ref
 def scratch_root(spark: SparkSession) -> str:
     """Folder shared by driver and executors, named by ``spark.checkpoint.dir``.
 
-    The setting is left alone where the cluster gives one. Only a session that
-    names none (a local test) gets a temporary folder.
+    The setting is left alone where the cluster gives one. Only a local
+    session that names none (a test) gets a temporary folder; on a cluster,
+    where executors could not read it, an unset folder is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("tablelab.scratch", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="tablelab-")
         spark.conf.set("tablelab.scratch", root)
     return root.rstrip("/")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +18,14 @@ NA_WORDS = [
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None, na_words: Sequence[str] = NA_WORDS, **options
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    na_words: Sequence[str] = NA_WORDS,
+    *,
+    multi_line: bool = True,
+    bad_cells: str = "error",
+    **options,
 ) -> DataFrame:
     """CSV with a header row. Cells holding one of ``na_words`` are missing.
 
@@ -26,14 +33,29 @@ def read_csv(
     becomes NULL instead of making the line malformed. Without a schema one
     scan finds integer, double and boolean columns; the rest stays text, and
     dates become timestamps only through ``parse_timestamp``.
+
+    Quoted cells may hold line breaks; a file is then one task's work. With
+    ``multi_line=False`` large files are split, and no cell may hold a break.
+    A cell that is neither missing nor of its column's type is an error naming
+    it, or NULL with ``bad_cells="null"``.
     """
-    reader = spark.read.option("header", True).option("escape", '"').options(**options)
+    if bad_cells not in ("error", "null"):
+        raise ValueError(f"bad_cells is 'error' or 'null', not {bad_cells!r}")
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).options(**options)
     if schema is None:
         return _infer_types(_blank_na(reader.csv(path), na_words))
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in wanted.fields])
     raw = _blank_na(reader.schema(as_text).csv(path), na_words)
-    return raw.select(*[ref(f.name).try_cast(f.dataType).alias(f.name) for f in wanted.fields])
+    return raw.select(*[_typed(f, bad_cells).alias(f.name) for f in wanted.fields])
+
+
+def _typed(field: T.StructField, bad_cells: str) -> Column:
+    cell, value = ref(field.name), ref(field.name).try_cast(field.dataType)
+    if bad_cells == "null":
+        return value
+    message = F.concat(F.lit(f"column {field.name}: not {field.dataType.simpleString()}: "), cell)
+    return F.when(cell.isNotNull() & value.isNull(), F.raise_error(message).cast(field.dataType)).otherwise(value)
 
 
 def _infer_types(text: DataFrame) -> DataFrame:
