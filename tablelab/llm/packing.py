@@ -39,16 +39,18 @@ class ChunkIds:
     The tokenizer lower-cases, drops white space and merges only within words,
     so the ids of a text are those of its pieces in order, and most pieces
     occur again and again. A mark at the end of a piece, behind a letter, is a
-    word of its own. Pieces not seen yet are encoded together; the store is
-    emptied when it holds ``limit`` pieces. A text that may name a special
-    token is encoded as it is.
+    word of its own. Pieces not seen yet are encoded together. Pieces are held
+    in two generations of ``limit``: when the young one is full it becomes the
+    old one, so what occurs often stays. A text that may name a special token
+    is encoded as it is.
     """
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 500_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.limit = limit
         self.held: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
@@ -59,8 +61,13 @@ class ChunkIds:
         return piece[:-1] if len(piece) > 1 and piece[-1] in ".,;:!?" and piece[-2].isalpha() and piece[-2] != "\u0130" else piece
 
     def _learn(self, pieces: set[str]) -> None:
-        core = {p: self._core(p) for p in pieces}
+        again = pieces & self.old.keys()
+        self.held.update(zip(again, map(self.old.__getitem__, again)))
+        core = {p: self._core(p) for p in pieces - again}
         new = list({*core.values(), *(p[-1] for p, c in core.items() if c != p)} - self.held.keys())
+        again = self.old.keys() & set(new)
+        self.held.update(zip(again, map(self.old.__getitem__, again)))
+        new = [p for p in new if p not in again]
         if new:
             for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
                 self.held[piece] = self._bytes(found.ids)
@@ -70,7 +77,7 @@ class ChunkIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.held) > self.limit:
-            self.held.clear()
+            self.old, self.held = self.held, {}
         split = [None if "<|" in t else t.encode("utf-8").translate(LOWER).decode("utf-8").replace("\n", " ").split(" ") for t in texts]
         self._learn(set().union(*[x for x in split if x]) - self.held.keys())
         held = self.held.__getitem__
