@@ -172,8 +172,12 @@ def apply_fill(
     order_by: Sequence[str] = (),
     partition_by: Sequence[str] = (),
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    keep_rows: bool = False,
 ) -> DataFrame:
-    """Apply fitted rules. Mean and median fills turn integer columns into doubles."""
+    """Apply fitted rules. Mean and median fills turn integer columns into doubles.
+
+    ``keep_rows`` leaves in the rows that a drop-row rule would take out.
+    """
     out = df
     for strategy, directions in ORDERED.items():
         chosen = [r for r in rules if r.strategy == strategy]
@@ -191,7 +195,7 @@ def apply_fill(
             rows_per_bucket=rows_per_bucket,
         )
     rows_dropped = [r.column for r in rules if r.strategy == "drop_rows"]
-    if rows_dropped:
+    if rows_dropped and not keep_rows:
         out = out.where(_alive(out, rows_dropped))
     columns_dropped = {r.column for r in rules if r.strategy == "drop_column"}
     by_column = {r.column: r for r in rules if r.strategy not in ORDERED and r.fill_value is not None}

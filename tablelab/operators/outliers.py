@@ -225,10 +225,10 @@ def fit_treatment(
     return chosen
 
 
-def apply_treatment(df: DataFrame, treatments: Sequence[Treatment]) -> DataFrame:
-    """One filter for all removals and one projection for all other actions."""
+def apply_treatment(df: DataFrame, treatments: Sequence[Treatment], keep_rows: bool = False) -> DataFrame:
+    """One filter for all removals (none with ``keep_rows``) and one projection for all other actions."""
     out = df
-    removals = [t for t in treatments if t.action == "remove"]
+    removals = [t for t in treatments if t.action == "remove" and not keep_rows]
     if removals:
         hit = F.lit(False)
         for t in removals:

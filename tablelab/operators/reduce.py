@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.ml import PipelineModel
@@ -26,6 +26,7 @@ class Components:
     ratios: list[float]
     k: int
     output: str
+    means: dict[str, float] = field(default_factory=dict)
 
     def transform(self, df: DataFrame) -> DataFrame:
         made = [c for s in self.model.stages for c in [s.getOutputCol()] if c != self.output]
@@ -37,12 +38,16 @@ def as_doubles(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.select(*[number(df, c).alias(c) if c in wanted else ref(c) for c in df.columns])
 
 
-def check_complete(df: DataFrame, features: Sequence[str]) -> None:
-    """A missing cell has no place in a model; name the columns that hold any."""
-    row = df.agg(*[F.count(F.when(number(df, c).isNull(), 1)).alias(f"m{i}") for i, c in enumerate(features)]).first()
+def check_complete(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
+    """The mean of each column. A missing cell has no place in a model; name the columns that hold any."""
+    row = df.agg(
+        *[F.count(F.when(number(df, c).isNull(), 1)).alias(f"m{i}") for i, c in enumerate(features)],
+        *[F.avg(number(df, c)).alias(f"a{i}") for i, c in enumerate(features)],
+    ).first()
     bad = [f"{c} ({row[f'm{i}']})" for i, c in enumerate(features) if row[f"m{i}"]]
     if bad:
         raise ValueError(f"missing values in model columns: {', '.join(bad)}; fill or drop them first")
+    return {c: float(row[f"a{i}"] or 0.0) for i, c in enumerate(features)}
 
 
 def fit_pca(
@@ -60,7 +65,7 @@ def fit_pca(
     is made positive, so that signs do not depend on the solver.
     """
     features = list(features)
-    check_complete(df, features)
+    means = check_complete(df, features)
     d = len(features)
     assembler = VectorAssembler(inputCols=features, outputCol="__assembled")
     rows = assembler.transform(as_doubles(df, features).select(*[ref(c) for c in features])).select("__assembled")
@@ -75,7 +80,7 @@ def fit_pca(
     orient = ElementwiseProduct(scalingVec=Vectors.dense(signs), inputCol="__rotated", outputCol="__oriented")
     keep = VectorSlicer(inputCol="__oriented", outputCol=output, indices=list(range(k)))
     model = PipelineModel(stages=[assembler, center, pca, orient, keep])
-    return Components(features, model, loadings * signs, ratios, k, output)
+    return Components(features, model, loadings * signs, ratios, k, output, means)
 
 
 def assemble(features: Sequence[str], output: str) -> PipelineModel:

@@ -34,21 +34,22 @@ class Preparation:
     dates: list[str] = field(default_factory=list)
     scales: list[Scale] = field(default_factory=list)
 
-    def step(self, name: str, df: DataFrame) -> DataFrame:
+    def step(self, name: str, df: DataFrame, keep_rows: bool = False) -> DataFrame:
         if name == "missing":
-            return apply_fill(df, self.fills, order_by=self.order_by) if self.fills else df
+            return apply_fill(df, self.fills, order_by=self.order_by, keep_rows=keep_rows) if self.fills else df
         if name == "outliers":
-            return apply_treatment(df, self.treatments)
+            return apply_treatment(df, self.treatments, keep_rows)
         if name == "encode":
             return apply_encoding(df, self.encodings)
         if name == "dates":
             return date_features(df, self.dates) if self.dates else df
         return apply_scale(df, self.scales) if self.scales else df
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def transform(self, df: DataFrame, keep_rows: bool = False) -> DataFrame:
+        """All steps in order. ``keep_rows`` returns one row per row of ``df``; cells without a rule stay missing."""
         out = normalise_missing(df)
         for name in STEPS:
-            out = self.step(name, out)
+            out = self.step(name, out, keep_rows)
         return out
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -23,17 +23,26 @@ VECTOR = "features"
 
 @dataclass
 class SegmentModel:
-    """Everything needed to label new rows: preparation, projection and clustering."""
+    """Everything needed to label new rows: preparation, projection and clustering.
+
+    ``defaults`` has the training mean of each feature, as the model sees it.
+    """
 
     key: list[str]
     features: list[str]
     projection: PipelineModel
     clustering: Clustering
     preparation: Preparation | None = None
+    defaults: dict[str, float] = field(default_factory=dict)
 
     def inputs(self, df: DataFrame) -> DataFrame:
-        prepared = self.preparation.transform(df) if self.preparation else df
-        return as_doubles(model_inputs(prepared, self.key), self.features)
+        """Key and features of every row. A feature without a value takes its training mean."""
+        prepared = self.preparation.transform(df, keep_rows=True) if self.preparation else df
+        rows = as_doubles(model_inputs(prepared, self.key), self.features)
+        known = set(self.features)
+        return rows.select(
+            *[F.coalesce(ref(c), F.lit(self.defaults.get(c, 0.0))).alias(c) if c in known else ref(c) for c in rows.columns]
+        )
 
     def project(self, df: DataFrame) -> DataFrame:
         rows = self.inputs(df)
@@ -41,7 +50,12 @@ class SegmentModel:
         return made.select(*[ref(k) for k in self.key], ref(VECTOR))
 
     def predict(self, df: DataFrame) -> DataFrame:
-        """Key columns and the label of each row of ``df``."""
+        """Key columns and the label of each row of ``df``: one row per row, none is dropped.
+
+        Gaps are filled by the fitted rules. What these leave open (a gap in a
+        column that was complete in training or whose rows were dropped there,
+        a category not seen in training) takes the training mean of the feature.
+        """
         return self.clustering.transform(self.project(df)).select(*[ref(k) for k in self.key], ref(LABEL))
 
 
@@ -91,9 +105,9 @@ def segment_table(
     components = None
     if use_pca:
         components = fit_pca(inputs, features, pca_components, pca_variance, output=VECTOR)
-        projection = components.model
+        projection, defaults = components.model, components.means
     else:
-        check_complete(inputs, features)
+        defaults = check_complete(inputs, features)
         projection = assemble(features, VECTOR)
     vectors = projection.transform(as_doubles(inputs, features)).select(*[ref(k) for k in key], ref(VECTOR))
     frame = materialise(vectors, key)
@@ -106,7 +120,7 @@ def segment_table(
         )
         search = Search([*search.trials, *tuned.trials], metric)
     best = search.best()
-    model = SegmentModel(list(key), features, projection, best.clustering, preparation)
+    model = SegmentModel(list(key), features, projection, best.clustering, preparation, defaults)
     return Segmentation(best.clustering.transform(frame), model, search, best, components, target)
 
 

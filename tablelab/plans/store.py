@@ -43,6 +43,7 @@ def save_model(model: SegmentModel, metrics: dict, path: str, spark: SparkSessio
         "relabel": clustering.relabel,
         "params": clustering.params,
         "details": clustering.details,
+        "defaults": model.defaults,
         "mixture": clustering.model.to_json() if own else None,
         "preparation": _preparation_state(model.preparation, path, mode) if model.preparation else None,
     }
@@ -67,7 +68,8 @@ def load_model(spark: SparkSession, path: str) -> SegmentModel:
         stages, model = stages[:-1], stages[-1]
     clustering = Clustering(record["algorithm"], state["params"], model, state["relabel"], details=state["details"])
     preparation = _load_preparation(spark, state["preparation"], path) if state["preparation"] else None
-    return SegmentModel(list(record["key"]), list(record["features"]), PipelineModel(stages=stages), clustering, preparation)
+    projection = PipelineModel(stages=stages)
+    return SegmentModel(list(record["key"]), list(record["features"]), projection, clustering, preparation, state.get("defaults", {}))
 
 
 def model_card(spark: SparkSession, path: str) -> DataFrame:

@@ -228,6 +228,19 @@ def test_saved_model_predicts_the_same(spark, groups, tmp_path, algorithms):
     assert card["n_clusters"] == 3 and card["verdict"] in ("strong", "reasonable", "weak", "poor")
 
 
+def test_every_new_row_gets_a_label(spark, groups):
+    pdf = groups.copy()
+    pdf["street"] = [f"street {i % 12}" for i in range(len(pdf))]
+    pdf.loc[3:4, "income"] = np.nan  # under one percent: these rows are dropped in training
+    df = spark.createDataFrame(pdf).drop("true_cluster")
+    prep = prepare.fit_preparation(df, ["customer_id"])
+    assert prep.transform(df).count() == 498
+    found = segment.segment_table(prep.transform(df), ["customer_id"], {"kmeans": {"n_clusters": [3], "n_init": [1]}}, preparation=prep)
+    new = df.withColumns({c: F.lit(None).cast("double") for c in ("income", "age") if c in df.columns}).withColumn("street", F.lit("nowhere"))
+    labels = [r["prediction"] for r in found.model.predict(new).collect()]
+    assert len(labels) == 500 and None not in labels
+
+
 def test_target_column_is_set_aside(spark, groups):
     df = spark.createDataFrame(groups)
     found = segment.segment_table(df, ["customer_id"], {"kmeans": {"n_clusters": [3], "n_init": [1]}}, target_column="true_cluster")
