@@ -73,6 +73,17 @@ def m04_user(spark, sf):
     return rounded(filled.drop("ts"))
 
 
+# The same in many range buckets, the plan of large tables.
+@query("m04_fill_forward_buckets", _ordered_sql("ASC"))
+def m04_buckets(spark, sf):
+    return _filled(spark, sf, "ffill", order_by=["event_id"], rows_per_bucket=100)
+
+
+@query("m05_fill_backward_buckets", _ordered_sql("DESC"))
+def m05_buckets(spark, sf):
+    return _filled(spark, sf, "bfill", order_by=["event_id"], rows_per_bucket=100)
+
+
 @query(
     "m06_fill_zero",
     f"WITH {GAPS} SELECT event_id, coalesce(user_id, 0) AS user_id, event_type, round(coalesce(value, 0), 6) + 0.0 AS value FROM gaps",

@@ -113,11 +113,15 @@ def p09(spark, sf):
     return select.align_to_source(source, labelled, ["c_custkey"])
 
 
-@query("p10_sample_split")
+@query(
+    "p10_sample_split",
+    """SELECT CASE WHEN CAST('0x' || substr(md5('42|' || o_orderkey), 1, 7) AS BIGINT) < 0.2 * 268435456 THEN 'test' ELSE 'train' END AS side,
+    count(*) AS n, round(avg(o_totalprice), 6) + 0.0 AS mean_price FROM orders GROUP BY 1""",
+)
 def p10(spark, sf):
     train, test = select.sample_split(table(spark, sf, "orders"), ["o_orderkey"])
     sides = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
-    return sides.groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.avg("o_totalprice").alias("mean_price"))
+    return rounded(sides.groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.avg("o_totalprice").alias("mean_price")))
 
 
 @query("p11_group_filter", "SELECT event_id, user_id, event_type, value FROM events WHERE event_type = 'click'")

@@ -59,6 +59,12 @@ def normalise_missing(df: DataFrame) -> DataFrame:
     return df.select(*[clean(df, c).alias(c) for c in df.columns])
 
 
+def draw_share(key: Sequence[str], seed: int, share: Column | float) -> Column:
+    """Whether a row is drawn: the first 28 bits of md5 over seed and key, so that any engine draws the same rows."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(ref(k).cast("string"), F.lit("")) for k in key])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 7), 16, 10).cast("bigint") < share * (1 << 28)
+
+
 def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 

@@ -8,19 +8,21 @@ from pyspark.sql import functions as F
 from tablelab.functions.columns import ref
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 0.001
 SALTS = 64
 
 
-def lookup_join(df: DataFrame, dictionary: DataFrame, column: str, *, size: int, total: int) -> DataFrame:
+def lookup_join(df: DataFrame, dictionary: DataFrame, column: str, *, size: int, total: int, octets: int = 0) -> DataFrame:
     """Add ``__code`` from ``dictionary(value, n, code)`` to every row of ``df``.
 
-    A dictionary of at most ``BROADCAST_ROWS`` rows is broadcast. A larger one
+    A dictionary of at most ``BROADCAST_ROWS`` rows whose values take at most
+    ``BROADCAST_BYTES`` bytes (``octets``) is broadcast. A larger one
     is joined by shuffle; values holding more than ``HOT_SHARE`` of the rows
     (so fewer than a thousand) are copied to every salt and their rows spread
     over the salts. NULL cells are spread too and get no code.
     """
-    if size <= BROADCAST_ROWS:
+    if size <= BROADCAST_ROWS and octets <= BROADCAST_BYTES:
         table = dictionary.select(F.col("value").alias("__value"), F.col("code").alias("__code"))
         return df.join(F.broadcast(table), ref(column) == F.col("__value"), "left").drop("__value")
     hot = [r["value"] for r in dictionary.where(F.col("n") > total * HOT_SHARE).select("value").collect()]

@@ -67,6 +67,7 @@ def fit_kmeans(
     init: str = "k-means++",
     n_init: int = 10,
     max_iter: int = 300,
+    tol: float = 1e-4,
     seed: int = 42,
     vector: str = "features",
     parallelism: int = 4,
@@ -79,7 +80,7 @@ def fit_kmeans(
     if init not in INIT_MODES:
         raise ValueError(f"unknown init {init!r}, expected one of {tuple(INIT_MODES)}")
     rows = vectors_only(df, vector)
-    estimator = KMeans(k=k, initMode=INIT_MODES[init], maxIter=max_iter, featuresCol=vector, predictionCol="__raw")
+    estimator = KMeans(k=k, initMode=INIT_MODES[init], maxIter=max_iter, tol=tol, featuresCol=vector, predictionCol="__raw")
 
     def attempt(number: int):
         return estimator.copy({estimator.seed: seed + number}).fit(rows)
@@ -87,7 +88,7 @@ def fit_kmeans(
     models = in_parallel([partial(attempt, i) for i in range(n_init)], parallelism)
     best = min(models, key=lambda m: m.summary.trainingCost)
     relabel = order_labels(np.array(best.clusterCenters()), best.summary.clusterSizes)
-    params = {"n_clusters": k, "init": init, "n_init": n_init, "max_iter": max_iter}
+    params = {"n_clusters": k, "init": init, "n_init": n_init, "max_iter": max_iter, "tol": tol}
     return Clustering("kmeans", params, best, relabel, vector, {"inertia": best.summary.trainingCost})
 
 
@@ -114,18 +115,24 @@ def fit_hierarchical(
     """Bottom-up clustering of micro-clusters.
 
     Spark's k-means summarises the rows into at most ``micro`` centres; these
-    are merged by the linkage, and rows follow their centre.
+    are merged by the linkage, and rows follow their centre. Micro-clusters
+    are cosine for ``distance="cosine"``, else Euclidean. For ``average``
+    linkage the distance of centres stands for the mean distance of pairs.
+    ``micro`` is part of the result's parameters.
     """
-    model = KMeans(k=max(micro, k), maxIter=max_iter, seed=seed, featuresCol=vector, predictionCol="__raw").fit(
-        vectors_only(df, vector)
-    )
+    measure = "cosine" if distance == "cosine" else "euclidean"
+    if measure == "cosine" and not df.where(~F.exists(vector_to_array(ref(vector)), lambda x: x != 0)).isEmpty():
+        raise ValueError("cosine distance is not defined for rows of zeros")
+    model = KMeans(
+        k=max(micro, k), maxIter=max_iter, seed=seed, featuresCol=vector, predictionCol="__raw", distanceMeasure=measure
+    ).fit(vectors_only(df, vector))
     centers, sizes = np.array(model.clusterCenters()), np.array(model.summary.clusterSizes)
     groups = merge_centres(centers, np.maximum(sizes, 1), min(k, len(centers)), linkage, distance)
     count = groups.max() + 1
     total = np.array([sizes[groups == g].sum() for g in range(count)])
     middle = np.array([np.average(centers[groups == g], axis=0, weights=np.maximum(sizes[groups == g], 1)) for g in range(count)])
     order = order_labels(middle, total)
-    params = {"n_clusters": k, "linkage": linkage, "affinity": distance}
+    params = {"n_clusters": k, "linkage": linkage, "affinity": distance, "micro": micro}
     return Clustering("agglo", params, model, [order[g] for g in groups], vector, {"micro_clusters": len(centers)})
 
 
@@ -137,15 +144,26 @@ def fit_gmm(
     reg_covar: float = 1e-6,
     max_iter: int = 100,
     tol: float = 1e-3,
+    n_init: int = 1,
     seed: int = 42,
     vector: str = "features",
 ) -> Clustering:
-    """Gaussian mixture of any covariance type, ``reg_covar`` added to the diagonal."""
+    """Gaussian mixture of any covariance type, ``reg_covar`` added to the diagonal.
+
+    Best of ``n_init`` seeded starts by likelihood. Labels go by assigned rows.
+    """
     points = df.select(vector_to_array(ref(vector)).alias("point"))
-    mixture = fit_mixture(points, k, covariance_type, reg_covar=reg_covar, max_iter=max_iter, tol=tol, seed=seed)
-    params = {"n_components": k, "covariance_type": covariance_type, "max_iter": max_iter, "reg_covar": reg_covar}
+    starts = [
+        fit_mixture(points, k, covariance_type, reg_covar=reg_covar, max_iter=max_iter, tol=tol, seed=seed + i) for i in range(n_init)
+    ]
+    mixture = max(starts, key=lambda m: m.log_likelihood)
+    found = mixture.assign(points, "point", "__raw").groupBy("__raw").agg(F.count(F.lit(1)).alias("n")).collect()
+    sizes = {r["__raw"]: r["n"] for r in found}
+    params = {
+        "n_components": k, "covariance_type": covariance_type, "max_iter": max_iter, "reg_covar": reg_covar, "tol": tol, "n_init": n_init
+    }
     details = {"log_likelihood": mixture.log_likelihood, "converged": mixture.converged, "iterations": len(mixture.history)}
-    return Clustering("gmm", params, mixture, order_labels(mixture.means, list(mixture.weights)), vector, details)
+    return Clustering("gmm", params, mixture, order_labels(mixture.means, [sizes.get(i, 0) for i in range(len(mixture.means))]), vector, details)
 
 
 def fit_gmm_builtin(
@@ -157,13 +175,14 @@ def fit_gmm_builtin(
     ).fit(vectors_only(df, vector))
     means = np.array([r["mean"].toArray() for r in model.gaussiansDF.collect()])
     params = {"n_components": k, "covariance_type": "full", "max_iter": max_iter}
-    return Clustering("gmm_builtin", params, model, order_labels(means, model.weights), vector, {"log_likelihood": model.summary.logLikelihood})
+    return Clustering("gmm_builtin", params, model, order_labels(means, model.summary.clusterSizes), vector, {"log_likelihood": model.summary.logLikelihood})
 
 
 # Parameter names of the grids, per algorithm, and the fit that takes them.
 FITS = {
     "kmeans": (fit_kmeans, {"n_clusters": "k"}),
     "gmm": (fit_gmm, {"n_components": "k"}),
+    "gmm_builtin": (fit_gmm_builtin, {"n_components": "k"}),
     "agglo": (fit_hierarchical, {"n_clusters": "k", "affinity": "distance"}),
     "bisecting": (fit_bisecting, {"n_clusters": "k"}),
 }

@@ -24,19 +24,20 @@ class Encoding:
     kind: str
     distinct: int
     total: int
+    octets: int = 0
     categories: list[str] = field(default_factory=list)
     dictionary: DataFrame | None = None
 
 
-def _sizes(df: DataFrame, names: Sequence[str]) -> dict[str, tuple[int, int]]:
-    """Distinct values and non-missing rows per column, in one job."""
+def _sizes(df: DataFrame, names: Sequence[str]) -> dict[str, tuple[int, int, int]]:
+    """Distinct values, non-missing rows and bytes of the distinct values per column, in one job."""
     rows = (
-        value_counts(df, names).groupBy("column").agg(F.count(F.lit(1)).alias("d"), F.sum("n").alias("t")).collect()
+        value_counts(df, names).groupBy("column").agg(F.count(F.lit(1)).alias("d"), F.sum("n").alias("t"), F.sum(F.octet_length(F.col("value").cast("string"))).alias("b")).collect()
         if names
         else []
     )
-    found = {r["column"]: (r["d"], r["t"]) for r in rows}
-    return {c: found.get(c, (0, 0)) for c in names}
+    found = {r["column"]: (r["d"], r["t"], r["b"]) for r in rows}
+    return {c: found.get(c, (0, 0, 0)) for c in names}
 
 
 def fit_encoding(
@@ -104,7 +105,7 @@ def apply_encoding(df: DataFrame, encodings: Sequence[Encoding]) -> DataFrame:
     out = df
     for e in encodings:
         if e.kind != "onehot":
-            joined = lookup_join(out, e.dictionary, e.column, size=e.distinct, total=e.total)
+            joined = lookup_join(out, e.dictionary, e.column, size=e.distinct, total=e.total, octets=e.octets)
             out = joined.select(*[F.col("__code").alias(c) if c == e.column else ref(c) for c in out.columns])
     wide = [e for e in encodings if e.kind == "onehot"]
     if not wide:

@@ -85,6 +85,12 @@ class Search:
         done = self.table(spark).where(F.col("error").isNull())
         return done.groupBy("algorithm", "n_clusters").agg(pick(self.metric).alias(self.metric)).orderBy("algorithm", "n_clusters")
 
+    def metrics_by_clusters(self, spark: SparkSession) -> DataFrame:
+        """Best value of each of the three metrics per algorithm and number of clusters."""
+        done = self.table(spark).where(F.col("error").isNull())
+        best = [(F.max if up else F.min)(name).alias(name) for name, up in HIGHER_IS_BETTER.items()]
+        return done.groupBy("algorithm", "n_clusters").agg(*best).orderBy("algorithm", "n_clusters")
+
 
 def grid(options: dict[str, Sequence]) -> list[dict]:
     """Cross product of parameter lists."""

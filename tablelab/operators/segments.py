@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablelab.functions.columns import clean, long_form, number, numeric_columns, ref, tidy
+from tablelab.functions.columns import clean, draw_share, long_form, number, numeric_columns, ref, tidy
 from tablelab.functions.stats import f_upper_tail
 from tablelab.operators.quality import CELL_ROWS, MAX_LABELS, cluster_moments, points, silhouette_without
 
@@ -170,11 +170,9 @@ def cluster_scatter_sample(
     df: DataFrame, label: str, dims: Sequence[str], fractions: dict, key: Sequence[str], seed: int = 42
 ) -> DataFrame:
     """Labelled points for plotting, a share per cluster, repeatable by key hash."""
-    scale = 1 << 30
-    draw = F.pmod(F.xxhash64(*[ref(k) for k in key], F.lit(seed)), F.lit(scale))
     keep = F.lit(False)
     for value, share in fractions.items():
-        keep = keep | ((ref(label) == F.lit(value)) & (draw < int(share * scale)))
+        keep = keep | ((ref(label) == F.lit(value)) & draw_share(key, seed, share))
     return df.where(keep).select(*[ref(k) for k in key], ref(label).alias("cluster"), *[ref(d) for d in dims])
 
 

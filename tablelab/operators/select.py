@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablelab.functions.columns import boolean_columns, clean, numeric_columns, ref, string_columns
+from tablelab.functions.columns import boolean_columns, clean, draw_share, numeric_columns, ref, string_columns
 
 
 def select_numeric(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -85,9 +85,7 @@ def sample_split(
 
 
 def in_test_set(key: Sequence[str], test_size: float, seed: int) -> Column:
-    scale = 1 << 30
-    draw = F.pmod(F.xxhash64(*[ref(k) for k in key], F.lit(seed)), F.lit(scale))
-    return draw < int(test_size * scale)
+    return draw_share(key, seed, test_size)
 
 
 def group_filter(df: DataFrame, column: str, value) -> DataFrame:
