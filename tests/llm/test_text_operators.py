@@ -101,6 +101,32 @@ def test_near_duplicates_against_brute_force(spark, crowd):
     assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
 
 
+def edits(words, count, at_once=1, seed=5):
+    draw = np.random.default_rng(seed)
+    out = []
+    for i in range(count):
+        own = list(words)
+        for at in draw.choice(len(own), at_once, replace=False):
+            own[at] = f"e{i}"
+        out.append(" ".join(own))
+    return out
+
+
+def test_near_duplicates_crowd_of_edits(spark):
+    base = [f"b{i}" for i in range(300)]
+    texts = edits(base, 3000)
+    rows = neardup.near_duplicates(docs_of(spark, texts, list(range(3000)))).collect()
+    assert {r.component_id for r in rows} == {0}
+
+
+def test_near_duplicates_crowd_around_one_text(spark):
+    # Each version is linked with the base text and with no other version.
+    base = [f"b{i}" for i in range(700)]
+    texts = [*edits(base, 400, 8), " ".join(base), *edits([f"c{i}" for i in range(700)], 100, 1)]
+    rows = neardup.near_duplicates(docs_of(spark, texts, list(range(501))), crowd=40).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {i: 0 if i < 401 else 401 for i in range(501)}
+
+
 def test_near_duplicates_edges(spark):
     docs = docs_of(spark, ["a b c d e f", "a b c d e f", "A B C D E F", None, ""], [5, 5, None, None, 9])
     rows = sorted(neardup.near_duplicates(docs).collect(), key=lambda r: (r.doc_id is None, r.doc_id, r.n_shingles))
