@@ -27,8 +27,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least doc_id of each group of near-duplicates."""
-    return neardup.drop_near_duplicates(_documents(docs))
+    """Keeps the document with the least doc_id of each group of near-duplicates: five words, a similarity of 0.8 or more."""
+    return neardup.drop_near_duplicates(_documents(docs), share=neardup.SHARE_80, agree=neardup.AGREE_80, levels=neardup.LEVELS_80)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -168,3 +168,13 @@ def test_pipeline_stages(spark):
     assert not {9001, 9002} & ids["language_id"] and 9003 in ids["language_id"] and 9003 not in ids["near_dedup"]
     assert ids["secret_scan"] == ids["benchmark_decontamination"] and 9004 in ids["secret_scan"]
     assert {r.doc_id for r in docs.collect()} == ids["secret_scan"]
+
+
+def test_pipeline_drops_copies_at_a_share_of_80(spark):
+    base = [f"w{i}" for i in range(104)]
+    near, far = list(base), list(base)
+    near[30] = near[70] = "x"  # 90 of 110 shingles: 0.82
+    far[20] = far[50] = far[80] = "y"  # 85 of 115: 0.74
+    rows = [(i, " ".join(t), "en", "s", 1) for i, t in enumerate((base, near, far))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, SF).collect()} == {0, 2}
