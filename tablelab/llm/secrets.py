@@ -13,6 +13,8 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,15 +29,19 @@ HEX = re.compile(r"[0-9a-f]+")
 ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 6, 20, 24
 
 #: All kinds in the order that breaks ties of the start.
-KINDS = ("assign", "access", "hex", "pem", "der_base64", "ssh_base64", "der_hex", "jwt")
-
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,-]*?)-----END \1-----")
-BASE64_RUN = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}")
-HEX_RUN = re.compile(r"(?:[0-9A-Fa-f]{2}){24,}")
+KINDS = ("assign", "access", "hex", "pem", "der_base64", "ssh_base64", "der_hex", "jwt", "pem_base64", "ssh_hex", "pem_hex")
+
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,\x00-]*?)-----END \1-----")
+#: Escapes of JSON and shells, once or several times over. Those of line ends become line ends, others the sign behind NULs.
+ESCAPED = re.compile(r"(?<!\\)\\++(?:[rnt/]|u00(?:0[9aAdD]|2[bBfF]|3[dD]))")
+#: Runs of one alphabet that go on over line ends. Their joined length must reach LEAST_RUN.
+BASE64_RUN = re.compile(r"[A-Za-z0-9+/\x00]{16,}(?:[ \t]*[\r\n]+[ \t]*[A-Za-z0-9+/\x00]+)*(?:\x00*=){0,2}")
+HEX_RUN = re.compile(r"[0-9A-Fa-f]{16,}(?:[ \t]*[\r\n]+[ \t]*[0-9A-Fa-f]+)*")
+LEAST_RUN = {"base64": 40, "hex": 48}
 JWT = re.compile(r"[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
 
 _HEX_BYTES = bytes(120 if chr(b) in "0123456789abcdef" else 32 for b in range(256))
-_RUN_BYTES = bytes(120 if chr(b).isalnum() and b < 128 or chr(b) in "+/" else 32 for b in range(256))
+_RUN_BYTES = bytes(120 if chr(b).isalnum() and b < 128 or chr(b) in "+/\0" else 32 for b in range(256))
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
@@ -97,26 +103,32 @@ def der_key(data: bytes) -> str | None:
     return None
 
 
-def ssh_key(data: bytes) -> bool:
-    """An OpenSSH private key: magic word, then length-prefixed strings within the data."""
-    magic = b"openssh-key-v1\x00"
-    if not data.startswith(magic):
-        return False
-    at = len(magic)
+_MAGIC = b"openssh-key-v1\x00"
+
+
+def ssh_end(data: bytes, start: int = 0) -> int | None:
+    """End of the OpenSSH private key at ``start``: magic word, then length-prefixed strings within the data."""
+    if not data.startswith(_MAGIC, start):
+        return None
+    at = start + len(_MAGIC)
     for _ in range(3):
         if at + 4 > len(data):
-            return False
+            return None
         at += 4 + int.from_bytes(data[at : at + 4], "big")
     if at + 4 > len(data):
-        return False
+        return None
     keys, at = int.from_bytes(data[at : at + 4], "big"), at + 4
     if not 1 <= keys <= 16:
-        return False
+        return None
     for _ in range(keys + 1):
         if at + 4 > len(data):
-            return False
+            return None
         at += 4 + int.from_bytes(data[at : at + 4], "big")
-    return at <= len(data)
+    return at if at <= len(data) else None
+
+
+def ssh_key(data: bytes) -> bool:
+    return ssh_end(data) is not None
 
 
 def signed_token(text: str) -> bool:
@@ -149,27 +161,91 @@ def base_spans(text: str, raw: bytes) -> list[tuple[int, int, str]]:
     return out
 
 
+def unescaped(text: str) -> str:
+    """The text, in its length, with escaped line ends as line ends and other escaped signs behind NULs."""
+
+    def sign(m: re.Match) -> str:
+        mark = m[0].lstrip("\\").lower()
+        plain = {"/": "/", "u002b": "+", "u002f": "/", "u003d": "="}.get(mark)
+        return "\n" * len(m[0]) if plain is None else "\0" * (len(m[0]) - 1) + plain
+
+    return ESCAPED.sub(sign, text) if "\\" in text else text
+
+
+def pem_spans(text: str) -> list[tuple[int, int]]:
+    out = []
+    for m in PEM.finditer(text):
+        body = "".join(line for line in m[2].split("\n") if ":" not in line)
+        data = _decoded(re.sub(r"[\s\0]", "", body))
+        if data and (der_key(data) or ssh_key(data) or "Proc-Type" in m[2]):
+            out.append(m.span())
+    return out
+
+
+def run_spans(run: re.Match, code: str) -> list[tuple[int, int, str]]:
+    """Private keys in a run of base64 or hexadecimal text, its lines joined.
+
+    A DER structure ends where a line of the run ends; OpenSSH keys and PEM
+    text are looked for in the decoded bytes from each possible first character.
+    """
+    # ``unit`` characters hold ``size`` bytes.
+    unit, size, alphabet = (4, 3, r"[A-Za-z0-9+/]+") if code == "base64" else (2, 1, r"[0-9A-Fa-f]+")
+    pieces = [(m.start() + run.start(), m[0]) for m in re.finditer(alphabet, run[0])]
+    joined = "".join(p for _, p in pieces)
+    if len(joined) < LEAST_RUN[code]:
+        return []
+    lows = [0, *accumulate(len(p) for _, p in pieces)]
+    ends = set(lows)
+
+    def decoded(shift: int) -> bytes:
+        rest = (len(joined) - shift) % unit
+        if code == "hex":
+            return bytes.fromhex(joined[shift : len(joined) - rest])
+        part = joined[shift:] if rest != 1 else joined[shift:-1]
+        return base64.b64decode(part + "=" * (-len(part) % 4))
+
+    data = [decoded(shift) for shift in range(unit)]
+
+    def span(low: int, high: int, kind: str) -> tuple[int, int, str]:
+        k, j = bisect_right(lows, low) - 1, bisect_right(lows, high - 1) - 1
+        end = run.end() if high == len(joined) else pieces[j][0] + high - lows[j]
+        return pieces[k][0] + low - lows[k], end, f"{kind}_{code}"
+
+    out, last = [], 0
+    for m in re.finditer("M" if code == "base64" else "(?=30)", joined):
+        low = m.start()
+        shift, at = low % unit, low // unit * size
+        top = _tlv(data[shift][at : at + 6], 0, 1 << 40) if low >= last and len(joined) - low >= LEAST_RUN[code] else None
+        if top is None or top[0] != 0x30:
+            continue
+        high = low - (-top[2] * unit // size)
+        if high in ends and high - low >= LEAST_RUN[code] and der_key(data[shift][at : at + top[2]]):
+            out.append(span(low, high, "der"))
+            last = high
+    for shift, own in enumerate(data):
+        at = own.find(_MAGIC)
+        while at >= 0:
+            if end := ssh_end(own, at):
+                out.append(span(shift + at * unit // size, min(len(joined), shift - (-end * unit // size)), "ssh"))
+            at = own.find(_MAGIC, at + 1)
+        if b"PRIVATE KEY-----" in own:
+            text = unescaped(own.decode("latin-1"))
+            out += [span(shift + low * unit // size, min(len(joined), shift - (-high * unit // size)), "pem") for low, high in pem_spans(text)]
+    return out
+
+
 def structural_spans(text: str, raw: bytes) -> list[tuple[int, int, str]]:
     out = []
+    plain = unescaped(text)
     if b"-----BEGIN " in raw:
-        for m in PEM.finditer(text):
-            body = "".join(line for line in m[2].split("\n") if ":" not in line)
-            data = _decoded(re.sub(r"\s", "", body))
-            if data and (der_key(data) or ssh_key(data) or "Proc-Type" in m[2]):
-                out.append((*m.span(), "pem"))
-    if b"x" * 40 in raw.translate(_RUN_BYTES):
-        for m in BASE64_RUN.finditer(text):
-            data = _decoded(m[0]) if m[0][0] in "Mb" else None
-            if data and der_key(data):
-                out.append((*m.span(), "der_base64"))
-            elif data and ssh_key(data):
-                out.append((*m.span(), "ssh_base64"))
-        for m in HEX_RUN.finditer(text):
-            if m[0].startswith("30") and der_key(bytes.fromhex(m[0])):
-                out.append((*m.span(), "der_hex"))
+        out += [(*s, "pem") for s in pem_spans(plain)]
+    if b"x" * 16 in (raw if plain is text else plain.encode("utf-8", "surrogatepass")).translate(_RUN_BYTES):
+        for code, runs in (("base64", BASE64_RUN), ("hex", HEX_RUN)):
+            for m in runs.finditer(plain):
+                out += run_spans(m, code)
     if b"eyJ" in raw:
         out += [(*m.span(), "jwt") for m in JWT.finditer(text) if m[0].startswith("eyJ") and signed_token(m[0])]
-    return out
+    return list(dict.fromkeys(out))
 
 
 def spans_of(text: str) -> list[tuple[int, int, str]]:

@@ -159,6 +159,36 @@ def test_structural_confirmation():
     assert "pem" in kinds(pem) and "pem" not in kinds(pem.replace(good, good[:8]))
 
 
+def test_private_keys_in_other_layouts():
+    import base64
+    import json
+    import textwrap
+
+    whole = lambda t: secrets.redacted(t)
+    body = b"\x02\x01\x00" + (b"\x02\x20" + bytes(range(1, 33))) * 8
+    der = b"\x30\x82" + len(body).to_bytes(2, "big") + body
+    coded = base64.b64encode(der).decode()
+    lines = "\n".join(textwrap.wrap(coded, 64))
+    pem = f"-----BEGIN RSA PRIVATE KEY-----\n{lines}\n-----END RSA PRIVATE KEY-----\n"
+    field = lambda x: len(x).to_bytes(4, "big") + x
+    ssh = b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + b"\0\0\0\1" + field(b"public" * 9) + field(b"private!" * 20)
+    again = base64.b64encode(pem.encode()).decode()
+    assert whole(f"tls.key: {again}").startswith("tls.key: [SECRET]") and len(whole(f"tls.key: {again}")) < 24
+    bundle = base64.b64encode(b"# two parts\n" + pem.encode()).decode()
+    assert any(k == "pem_base64" for _, _, k in secrets.spans_of("data:\n  " + "\n  ".join(textwrap.wrap(bundle, 76))))
+    assert whole(json.dumps({"k": pem.strip()})) == '{"k": "[SECRET]"}'
+    assert whole(json.dumps({"k": lines})) == '{"k": "[SECRET]"}'
+    assert whole(json.dumps({"k": json.dumps(coded)}).replace("/", "\\/")).count("[SECRET]") == 1
+    assert whole(f"key:\n{lines}\nthe end") == "key:\n[SECRET]\nthe end"
+    assert whole(f"key:\r\n  {lines}".replace("\n", "\r\n  ")).endswith("  [SECRET]")
+    sshed = "\n".join(textwrap.wrap(base64.b64encode(ssh).decode(), 70))
+    assert whole(f"x\n{sshed}\ny") == "x\n[SECRET]\ny"
+    for text in (ssh.hex(), ssh.hex().upper(), "\n".join(textwrap.wrap(ssh.hex(), 64))):
+        assert any(k == "ssh_hex" and text[a:b] == text for a, b, k in secrets.spans_of(text))
+    broken = der[:41] + b"\x05" + der[42:]
+    assert secrets.structural_spans(base64.b64encode(broken).decode(), base64.b64encode(broken)) == []
+
+
 def test_secrets_table_and_redaction(spark):
     docs = docs_of(spark, [*EDGE, "my secret = abcdef123 end"])
     rows = {r.doc_id: r for r in secrets.find_secrets(docs).collect()}
