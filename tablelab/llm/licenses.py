@@ -52,6 +52,8 @@ KEYWORDS = re.compile(r"licen[sc]|copyright|\(c\)|©|rights reserved|public doma
 #: Share of the block's own compressed size that a template must save, share of template words found in
 #: order, and words added to or changed in the block for each of the template's.
 LEAST_SAVED, LEAST_SAME, MOST_OTHER = 0.25, 0.85, 0.25
+#: Words in a row that a text shares with a template where a notice is sought; no template is shorter.
+ANCHOR = 3
 #: Templates whose wording is compared, best savings first.
 COMPARED = 5
 LEVEL = 9
@@ -92,6 +94,11 @@ class Templates:
             held = zstandard.ZstdCompressionDict(raw + b" " * max(0, 8 - len(raw)), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.given.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=held, write_content_size=False))
         self.words = [words(text) for _, text in templates]
+        # Where each run of ANCHOR words stands in the templates.
+        self.anchors: dict[tuple[str, ...], list[tuple[int, int]]] = {}
+        for i, own in enumerate(self.words):
+            for k in range(len(own) - ANCHOR + 1):
+                self.anchors.setdefault(tuple(own[k : k + ANCHOR]), []).append((i, k))
         self.match = lru_cache(maxsize=20_000)(self._match)
 
     def savings(self, block: str) -> list[float]:
@@ -122,12 +129,40 @@ class Templates:
                 best = found
         return best
 
+    def aligned_blocks(self, text: str) -> list[tuple[int, int]]:
+        """Start and end of the words that stand as in a template, over any lines, blank ones too.
+
+        Every run of ``ANCHOR`` words shared with a template says where the
+        template would begin; places nearer than the words that may be added
+        or missing belong to one notice.
+        """
+        spots = list(WORD.finditer(text))
+        own = [m[0].lower() for m in spots]
+        begins: dict[int, list[tuple[int, int, int]]] = {}
+        for at in range(len(own) - ANCHOR + 1):
+            for i, k in self.anchors.get(tuple(own[at : at + ANCHOR]), ()):
+                begins.setdefault(i, []).append((at - k, at, k))
+        out: dict[tuple[int, int], None] = {}
+        for i, seen in begins.items():
+            want = len(self.words[i])
+            seen.sort()
+            cuts = [0, *[x for x in range(1, len(seen)) if seen[x][0] - seen[x - 1][0] > max(1, MOST_OTHER * want)], len(seen)]
+            for a, b in zip(cuts, cuts[1:]):
+                group = sorted((at, k) for _, at, k in seen[a:b])
+                (first, before), (last, k) = group[0], group[-1]
+                low, high = max(0, first - before), min(len(own), last + want - k)
+                # Words at the edges may be missing, too: also the block of what was seen alone.
+                for x, y in {(low, high), (first, last + ANCHOR)}:
+                    if y - x <= (1 + MOST_OTHER) * want:
+                        out[spots[x].start(), spots[y - 1].end()] = None
+        return list(out)
+
     def scan(self, text: str) -> list[Match]:
-        """Confirmed notices of all candidate blocks (lines, and paragraphs of several lines) of a text."""
+        """Confirmed notices of all candidate blocks (lines, sentences, runs of lines, words that stand as in a template) of a text."""
         if not KEYWORDS.search(text):
             return []
         out: list[Match] = []
-        for start, end in candidate_blocks(text):
+        for start, end in dict.fromkeys([*candidate_blocks(text), *self.aligned_blocks(text)]):
             found = self.match(text[start:end])
             if found:
                 i, saved, same, exact, missing, added = found
@@ -189,7 +224,8 @@ def find_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     the template's words found in order), exact, and the words missing and
     added. Null and empty texts have none; every row gets a row. Equal savings
     go to the template listed first. Whole texts are read: a block is a line,
-    a sentence of a line, or up to ``MOST_LINES`` lines.
+    a sentence of a line, up to ``MOST_LINES`` lines, or the words that stand as
+    in a template, over any number of lines and blank lines.
     """
     rows = pick(docs, doc_id=doc_id, text=text)
     notice = T.StructType(

@@ -237,6 +237,60 @@ def test_license_broken_lines_and_table(spark):
 # ---- op7
 
 
+MIT_TEXT = """MIT License
+
+Copyright (c) 2020 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND.
+"""
+APACHE_TEXT = """Copyright 2020 Some Body
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+BSD_TEXT = """Copyright (c) 2020, Some Body
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice.
+"""
+MPL_TEXT = """This Source Code Form is subject to the terms of the Mozilla
+Public License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/.
+"""
+
+
+@pytest.mark.parametrize("name, text", [("MIT", MIT_TEXT), ("Apache-2.0", APACHE_TEXT), ("BSD-3-Clause", BSD_TEXT), ("MPL-2.0", MPL_TEXT)])
+@pytest.mark.parametrize("mark", ["", "# ", " * "])
+def test_license_standard_layouts(name, text, mark):
+    text = "x = 1\n\n" + "".join(f"{mark}{line}\n" for line in text.split("\n"))
+    (found,) = licenses.Templates().scan(text)
+    assert found.license == name and found.exact
+
+
 def test_packing_round_trip(spark):
     texts = [*EDGE, "It's <|endoftext|> <|ENDOFTEXT|> é́ a.,b!! \x1c x", *[f"word{i}, and text." * (i % 97) for i in range(400)]]
     ids = list(range(len(texts)))
