@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+import tempfile
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +24,8 @@ from tablelab.llm.common import chunks, pick, starts_of, stored
 #: Hashed trigram features; the model is languages x FEATURES numbers, whatever the corpus.
 BITS = 16
 FEATURES = 1 << BITS
-#: Languages kept by the text model: the most frequent declared ones.
-MOST_LANGUAGES = 64
+#: Languages whose rows of the text model are held at a time; all declared ones are kept.
+SHARD = 64
 #: Pseudo-counts of the smoothing: a host counts as so many pages of its domain, a domain of the corpus.
 HOST_WEIGHT, DOMAIN_WEIGHT = 20.0, 20.0
 #: Trigrams of one text overlap and repeat: their log likelihood is scaled to at most so many independent ones.
@@ -63,6 +64,11 @@ def trigram_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return code, starts
 
 
+def _sparse(lang: str, sums: np.ndarray) -> pa.RecordBatch:
+    at = np.flatnonzero(sums)
+    return pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(sums[at].astype(np.int64))], names=["lang", "feature", "n"])
+
+
 def _counts(batches, column_language: str):
     """Trigram counts per language within one task."""
     held: dict[str, np.ndarray] = {}
@@ -73,33 +79,46 @@ def _counts(batches, column_language: str):
             own = [code[starts[i] : starts[i + 1]] for i, x in enumerate(languages) if x == lang]
             sums = np.bincount(np.concatenate(own), minlength=FEATURES + 1)[:FEATURES]
             held[lang] = held[lang] + sums if lang in held else sums
-    for lang, sums in held.items():
-        at = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(sums[at].astype(np.int64))], names=["lang", "feature", "n"])
+            if len(held) > SHARD:
+                yield from map(_sparse, held, held.values())
+                held = {}
+    yield from map(_sparse, held, held.values())
 
 
 def fit_text_model(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list[str], np.ndarray]:
     """Languages and log likelihoods (languages x features), counted over all rows with a declared language.
 
-    Counts are added within tasks, then by Spark per language and feature; the
-    result has at most ``MOST_LANGUAGES`` x ``FEATURES`` numbers.
+    Counts are added within tasks, then by Spark per language and feature, and
+    stored. The model is made ``SHARD`` languages at a time, in a file if there are more.
     """
-    rows = pick(docs, text=text, lang=lang).withColumn("lang", F.lower("lang"))
-    frequent = [r["lang"] for r in rows.where("lang IS NOT NULL").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()]
-    languages = sorted(frequent)
+    rows = pick(docs, text=text, lang=lang).withColumn("lang", F.lower("lang")).where("lang IS NOT NULL")
+    languages = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
     if not languages:
         return [], np.zeros((0, FEATURES + 1), np.float32)
-    counted = rows.where(F.col("lang").isin(languages)).mapInArrow(lambda b: _counts(b, "lang"), "lang string, feature int, n long")
+    counted = rows.mapInArrow(lambda b: _counts(b, "lang"), "lang string, feature int, n long")
     packed = counted.groupBy("lang", "feature").agg(F.sum("n").alias("n"))
-    table = np.zeros((len(languages), FEATURES), np.float64)
-    number = {x: i for i, x in enumerate(languages)}
-    for part in packed.toArrow().to_batches():
-        at = [number[x] for x in part.column("lang").to_pylist()]
-        table[at, part.column("feature").to_numpy()] = part.column("n").to_numpy()
-    table += 0.5
-    model = np.log(table / table.sum(axis=1, keepdims=True))
-    model -= model.mean(axis=0)  # only differences between languages count; keeps sums small
-    return languages, np.hstack([model, np.zeros((len(languages), 1))]).astype(np.float32)
+    shards = [languages[low : low + SHARD] for low in range(0, len(languages), SHARD)]
+    if len(shards) > 1:
+        packed = stored(packed, "trigrams")
+
+    def logs(shard: list[str]) -> np.ndarray:
+        table = np.zeros((len(shard), FEATURES), np.float64)
+        number = {x: i for i, x in enumerate(shard)}
+        for part in packed.where(F.col("lang").isin(shard)).toArrow().to_batches():
+            at = [number[x] for x in part.column("lang").to_pylist()]
+            table[at, part.column("feature").to_numpy()] = part.column("n").to_numpy()
+        table += 0.5
+        return np.log(table / table.sum(axis=1, keepdims=True))
+
+    if len(shards) == 1:
+        model = logs(languages)
+        model -= model.mean(axis=0)  # only differences between languages count; keeps sums small
+        return languages, np.hstack([model, np.zeros((len(languages), 1))]).astype(np.float32)
+    mean = sum(logs(shard).sum(axis=0) for shard in shards) / len(languages)
+    model = np.memmap(tempfile.TemporaryFile(), np.float32, "w+", shape=(len(languages), FEATURES + 1))
+    for k, shard in enumerate(shards):
+        model[k * SHARD : k * SHARD + len(shard), :FEATURES] = logs(shard) - mean
+    return languages, model
 
 
 def text_evidence(texts: list[str], model: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,25 +135,39 @@ def letters(text: str) -> bool:
 
 def with_evidence(rows: DataFrame, languages: list[str], model: np.ndarray, page: bool = False) -> DataFrame:
     """``evidence`` (log likelihood per language) and ``worded`` beside the columns; of a page, its visible text and ``declared``."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)  # at most MOST_LANGUAGES x FEATURES floats: 17 MB
     added = [T.StructField("evidence", T.ArrayType(T.DoubleType())), T.StructField("worded", T.BooleanType())]
     if page:
         added.append(T.StructField("declared", T.StringType()))
-    kept = [f for f in rows.schema.fields if not (page and f.name == "text")]
-    schema = T.StructType([*kept, *added])
-
+    lows = range(0, max(1, len(languages)), SHARD)
+    given = rows.schema.fields
+    for low in lows:
+        # At most SHARD x FEATURES floats: 17 MB. Further shards append to the evidence; the text goes with the last one.
+        shared = rows.sparkSession.sparkContext.broadcast(np.array(model[low : low + SHARD]))
+        kept = [f for f in given if not (page and f.name == "text" and low == lows[-1])]
+        schema = T.StructType([*kept, *added])
+        rows = rows.mapInArrow(_evidence(shared, kept, schema.names, page, low == 0), schema)
+        if low != lows[-1]:
+            rows = stored(rows, "evidence")
+    return rows
+
+
+def _evidence(shared, kept: list, names: list[str], page: bool, first: bool):
     def run(batches):
         for batch in chunks(batches):
             raw = batch.column("text").to_pylist()
             texts = [visible_text(t) if page else t or "" for t in raw]
             sums, _ = text_evidence(texts, shared.value)
             columns = [batch.column(f.name) for f in kept]
-            columns += [pa.array(list(sums), pa.list_(pa.float64())), pa.array([letters(t) for t in texts], pa.bool_())]
-            if page:
-                columns.append(pa.array([declared_language(t) for t in raw], pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            if first:
+                columns += [pa.array(list(sums), pa.list_(pa.float64())), pa.array([letters(t) for t in texts], pa.bool_())]
+                if page:
+                    columns.append(pa.array([declared_language(t) for t in raw], pa.string()))
+            else:
+                longer = [[*a, *b] for a, b in zip(batch.column("evidence").to_pylist(), sums.tolist())]
+                columns += [pa.array(longer, pa.list_(pa.float64())), *[batch.column(c) for c in names[len(kept) + 1 :]]]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return rows.mapInArrow(run, schema)
+    return run
 
 
 def softmax(scores: Column) -> Column:
@@ -147,13 +180,18 @@ def _vector_sum(column: str, n: int) -> list[Column]:
     return [F.sum(F.col(column)[i]).alias(f"s{i}") for i in range(n)]
 
 
+def _total(columns: list[str]) -> Column:
+    """Sum of the columns, in an expression that is no deeper for many of them."""
+    return F.aggregate(F.array(*columns), F.lit(0.0), lambda a, b: a + b)
+
+
 def _confusion(rows: DataFrame, column: str, n: int, weight: float = 5.0) -> DataFrame:
     """``column`` with the log likelihood of its value for each language, relative to that of the corpus."""
     sums = [f"s{i}" for i in range(n)]
     by_value = rows.where(F.col(column).isNotNull()).groupBy(column).agg(*_vector_sum("soft", n))
     total = [x or 0.0 for x in by_value.agg(*[F.sum(s) for s in sums]).first()]  # one number per language
     whole = sum(total) or 1.0
-    own = sum((F.col(s) for s in sums), F.lit(0.0))
+    own = _total(sums)
     rate = [F.log((F.col(f"s{i}") + weight * F.greatest(own, F.lit(1e-9)) / whole) / (t + weight)) for i, t in enumerate(total)]
     return by_value.select(F.col(column).alias(f"{column}_key"), F.array(*rate).alias(f"{column}_ll"))
 
@@ -198,7 +236,7 @@ def fuse(rows: DataFrame, languages: list[str], name: str) -> DataFrame:
     corpus = F.array(*[F.lit((x + 1.0) / (sum(sums) + n)) for x in sums])
 
     def level(by: str, above: Column, weight: float, joined: DataFrame) -> DataFrame:
-        own = sum((F.col(x) for x in s), F.lit(0.0))
+        own = _total(s)
         return joined.withColumn(by, F.array(*[(F.col(x) + weight * above[i]) / (own + weight) for i, x in enumerate(s)])).drop(*s)
 
     domains = cells.where("domain IS NOT NULL").groupBy("domain").agg(*_vector_sum("soft", n))

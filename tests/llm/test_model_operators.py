@@ -69,6 +69,16 @@ def message(conv, turn, kind, call=None, name=None, args=None, content=None):
     return (conv, turn, kind, None, name, call, content, args, "extra", 1)
 
 
+def test_more_languages_than_a_shard(spark):
+    # The rarest of 70 languages keep their row.
+    texts = [(f"{chr(97 + i // 26)}{chr(97 + i % 26)}{chr(97 + i % 7)}qx " * 12, f"l{i:02d}", "s") for i in range(70) for _ in range(1 if i in (3, 69) else 2)]
+    docs = spark.createDataFrame(texts, "text string, lang string, source string")
+    languages, model = language.fit_text_model(docs)
+    assert languages == [f"l{i:02d}" for i in range(70)] and model.shape[0] == 70
+    rows = language.with_evidence(docs, languages, model).collect()
+    assert all(languages[int(np.argmax(r.evidence))] == r.lang and len(r.evidence) == 70 for r in rows)
+
+
 def test_tool_calls(spark):
     rows = [
         message(1, 0, "message", content="hé \u0001"), message(1, 1, "call", "x", "add", '{"b": 2.0, "a": 1}'), message(1, 2, "result", "x", content="3"),
