@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelab.llm import decontaminate, exact_search, extract, language, licenses, neardup, packing, quality, secrets, toolcalls
+from tablelab.llm import decontaminate, exact_search, extract, language, licenses, neardup, packing, quality, secrets, toolcalls, toxicity
 from tablelab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,4 +107,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_search.top_k(table(spark, sf_dir, "embeddings"))
 
 
+@query("op11_toxicity")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.classify(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))).drop("difference")
+
+
 __all__ = ["F", "ORACLE", "QUERIES"]
