@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelab.llm import decontaminate, exact_search, extract, language, licenses, neardup, packing, quality, secrets, toolcalls, toxicity
+from tablelab.llm import decontaminate, exact_search, extract, language, licenses, neardup, packing, quality, secrets, toolcalls, toxicity, vector_codes
 from tablelab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,4 +113,40 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))).drop("difference")
 
 
+def _op12_sql() -> str:
+    """Codebooks b0 to b2 and the assignments a0 to a2, each from the one before."""
+
+    def assigned(k: int) -> str:
+        distance = "list_sum([z[1] * z[1] FOR z IN [[y[1] - y[2]] FOR y IN list_zip(p.p, b.p)]])"
+        return f"""a{k} AS MATERIALIZED (SELECT rid, j, m.e AS e, m.d AS d FROM (SELECT rid, j, min({{'d': CAST({distance} AS BIGINT), 'e': e}}) AS m
+  FROM p JOIN b{k} b USING (j) GROUP BY rid, j))"""
+
+    def replaced(k: int) -> str:
+        return f"""s{k} AS (SELECT j, e, i, sum(x) AS s, count(*) AS n FROM (SELECT a.j AS j, a.e AS e, unnest(p.p) AS x, unnest(range(len(p.p))) AS i
+  FROM a{k - 1} a JOIN p ON p.rid = a.rid AND p.j = a.j) GROUP BY j, e, i),
+m{k} AS (SELECT j, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS p FROM s{k} GROUP BY j, e),
+b{k} AS MATERIALIZED (SELECT b.j AS j, b.e AS e, coalesce(m.p, b.p) AS p FROM b{k - 1} b LEFT JOIN m{k} m ON m.j = b.j AND m.e = b.e)"""
+
+    return f"""
+WITH v AS MATERIALIZED (SELECT vec_id, label, row_number() OVER () AS rid, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+p AS MATERIALIZED (SELECT rid, j, v[j * (len(v) // 16) + 1:(j + 1) * (len(v) // 16)] AS p FROM v, LATERAL (SELECT unnest(range(16)) AS j)),
+f AS (SELECT rid, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS e FROM v),
+b0 AS MATERIALIZED (SELECT j, e, p FROM f JOIN p USING (rid) WHERE e < 64),
+{assigned(0)},
+{replaced(1)},
+{assigned(1)},
+{replaced(2)},
+{assigned(2)},
+books AS (SELECT sha256(string_agg(array_to_string(p, ','), ',' ORDER BY j, e)) AS sha FROM b2),
+coded AS (SELECT rid, string_agg(printf('%02x', e), '' ORDER BY j) AS code, CAST(sum(d) AS BIGINT) AS error FROM a2 GROUP BY rid)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, sha AS codebooks_sha256
+FROM v JOIN coded USING (rid), books"""
+
+
+@query("op12_vector_codes", _op12_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.encode(table(spark, sf_dir, "embeddings"))
+
+
 __all__ = ["F", "ORACLE", "QUERIES"]
