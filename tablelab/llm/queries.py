@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelab.llm import decontaminate, exact_search, extract, language, licenses, neardup, packing, quality, secrets, toolcalls, toxicity, vector_codes
+from tablelab.llm import decontaminate, exact_search, extract, language, licenses, neardup, packing, quality, secrets, spelling, toolcalls, toxicity, vector_codes
 from tablelab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,4 +149,9 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.encode(table(spark, sf_dir, "embeddings"))
 
 
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
 __all__ = ["F", "ORACLE", "QUERIES"]
