@@ -10,6 +10,7 @@ is summed across tasks; ids never cross the network.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 
 import numpy as np
@@ -30,6 +31,21 @@ END_ID = 1
 #: Tasks whose totals one window sums; two levels of sums serve BLOCK * BLOCK tasks.
 BLOCK = 1024
 
+# Small Latin letters that normalisation keeps, and ASCII signs but the apostrophe, which starts words such as 's.
+_SMALL = "a-z\u00df-\u00f6\u00f8-\u024f"
+_PLAIN = re.compile(f"[{_SMALL}!-&(-@\\[-`{{-~]+")
+_RUN = re.compile(f"[{_SMALL}]+|[^{_SMALL}]+")
+_LETTERS = re.compile(f"[{_SMALL}]+")
+
+
+def _byte_signs() -> list[str]:
+    """The sign that stands for each byte: itself if it can be seen, else one from U+0100 on, in order."""
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = iter(range(256, 512))
+    return [chr(b) if b in seen else chr(next(hidden)) for b in range(256)]
+
+
+_BYTE_SIGNS = _byte_signs()
 _loaded: dict[str, ChunkIds] = {}
 
 
@@ -38,8 +54,9 @@ class ChunkIds:
 
     The tokenizer lower-cases, drops white space and merges only within words,
     so the ids of a text are those of its pieces in order, and most pieces
-    occur again and again. A mark at the end of a piece, behind a letter, is a
-    word of its own. Pieces not seen yet are encoded together. Pieces are held
+    occur again and again. Pieces not seen yet are cut into runs of letters and
+    of other signs, which are words of their own, and runs of small Latin
+    letters go straight to the tokenizer's model. Pieces and runs are held
     in two generations of ``limit``: when the young one is full it becomes the
     old one, so what occurs often stays. A text that may name a special token
     is encoded as it is.
@@ -47,6 +64,7 @@ class ChunkIds:
 
     def __init__(self, path: str, limit: int = 500_000):
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.limit = limit
         self.held: dict[str, bytes] = {}
@@ -56,24 +74,32 @@ class ChunkIds:
         return np.array(ids, self.kind).tobytes()
 
     @staticmethod
-    def _core(piece: str) -> str:
-        """The piece without a closing mark; the mark starts no word with what stands before it."""
-        return piece[:-1] if len(piece) > 1 and piece[-1] in ".,;:!?" and piece[-2].isalpha() and piece[-2] != "\u0130" else piece
+    def _runs(piece: str) -> list[str]:
+        """The piece cut between letters and other signs, or whole where a word may reach over such a border."""
+        return _RUN.findall(piece) if _PLAIN.fullmatch(piece) and piece.lower() == piece else [piece]
+
+    def _letters(self, run: str) -> bytes:
+        """Ids of a run of small letters: what the normaliser leaves as it is goes to the model as bytes."""
+        word = run if run.isascii() else "".join(map(_BYTE_SIGNS.__getitem__, run.encode()))
+        return self._bytes([t.id for t in self.model.tokenize(word)])
+
+    def _recall(self, wanted: set[str]) -> set[str]:
+        """Those of the pieces that are not known; older ones become young again."""
+        again = wanted & self.old.keys()
+        self.held.update(zip(again, map(self.old.__getitem__, again)))
+        return wanted - self.held.keys()
 
     def _learn(self, pieces: set[str]) -> None:
-        again = pieces & self.old.keys()
-        self.held.update(zip(again, map(self.old.__getitem__, again)))
-        core = {p: self._core(p) for p in pieces - again}
-        new = list({*core.values(), *(p[-1] for p, c in core.items() if c != p)} - self.held.keys())
-        again = self.old.keys() & set(new)
-        self.held.update(zip(again, map(self.old.__getitem__, again)))
-        new = [p for p in new if p not in again]
-        if new:
-            for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                self.held[piece] = self._bytes(found.ids)
-        for piece, c in core.items():
-            if c != piece:
-                self.held[piece] = self.held[c] + self.held[piece[-1]]
+        runs = {p: self._runs(p) for p in self._recall(pieces)}
+        new = self._recall(set().union(*runs.values()))
+        letters = {r for r in new if _LETTERS.fullmatch(r) and r.lower() == r}
+        self.held.update((r, self._letters(r)) for r in letters)
+        rest = list(new - letters)
+        for run, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            self.held[run] = self._bytes(found.ids)
+        for piece, parts in runs.items():
+            if piece not in self.held:
+                self.held[piece] = b"".join(map(self.held.__getitem__, parts))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.held) > self.limit:
