@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from catalog.base import FEATURES, customer_features, query, r, rounded, table
 from tablelab.operators import cluster, quality, reduce, search, segments
 from tablelab.operators.scale import scale
+from tablelab.operators.tuner import tune_learning
 from tablelab.plans import export, prepare, segment, store
 from tablelab.session import materialise, scratch_path
 
@@ -184,6 +185,11 @@ _planted_query("c10_tune_grid_planted", lambda f: search.tune_grid(
 ).best().clustering)
 
 
+_planted_query("c09_tune_learning_planted", lambda f: tune_learning(
+    f, "kmeans", key=LINE_ID, ready=True, n_trials=14, space={"n_clusters": {"type": "int", "low": 2, "high": 12}, "n_init": {"type": "int", "low": 1, "high": 2}}
+).best().clustering)
+
+
 @query("c08_compare_clusterings")
 def c08(spark, sf):
     return search.compare_clusterings(_customer_frame(spark, sf), ALGORITHMS, key=FRAME_KEY, ready=True).table(spark)
@@ -200,6 +206,12 @@ def c09(spark, sf):
     return search.tune_random(_customer_frame(spark, sf), "kmeans", key=FRAME_KEY, n_trials=5, ready=True).table(spark)
 
 
+@query("c09_tune_learning")
+def c09_learning(spark, sf):
+    """The default space; more trials than start at random, so that some are learned."""
+    return tune_learning(_customer_frame(spark, sf), "kmeans", key=FRAME_KEY, n_trials=12, ready=True).table(spark)
+
+
 @query("c10_tune_grid")
 def c10(spark, sf):
     space = {"n_clusters": {"type": "int", "low": 2, "high": 4}, "linkage": {"type": "categorical", "choices": ["ward", "average"]}}
@@ -444,7 +456,7 @@ def _drop_ctes():
 
 @query("g06_silhouette_drop", f"WITH {_drop_ctes()} SELECT feature, {r('base', 'base', 8)}, {r('without', 'without', 8)}, {r('base - without', 'importance', 8)} FROM drops")
 def g06(spark, sf):
-    return rounded(segments.silhouette_drop(_customer_points(spark, sf), "c_mktsegment", CUSTOMER, ["c_custkey"]), 8)
+    return rounded(segments.silhouette_drop(_customer_points(spark, sf), "c_mktsegment", CUSTOMER, ["c_custkey"], mode="euclidean"), 8)
 
 
 @query(
@@ -454,10 +466,47 @@ def g06(spark, sf):
     SELECT feature, {r('f', 'anova_score')}, {r('d', 'silhouette_score')}, {r('fa', 'anova_norm')}, {r('da', 'silhouette_norm')}, {r('(fa + da) / 2', 'combined_importance')} FROM norm""",
 )
 def g07(spark, sf):
-    table_ = segments.combined_importance(_customer_points(spark, sf), "c_mktsegment", CUSTOMER, ["c_custkey"])
+    table_ = segments.combined_importance(_customer_points(spark, sf), "c_mktsegment", CUSTOMER, ["c_custkey"], mode="euclidean")
     return rounded(table_.drop("anova_p_value"))
 
 
+# The same with squared distances, over all numeric columns of all lines, by return flag.
+ALL_LINES = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _squared_drop_ctes():
+    """Mean squared distances to a cluster from its means and variances; all lines, linear work."""
+    moments = ", ".join(f"avg({c}) AS m{i}, var_pop({c}) AS v{i}" for i, c in enumerate(ALL_LINES))
+    terms = [f"((t.x{i} - g.m{i}) * (t.x{i} - g.m{i}) + g.v{i})" for i in range(len(ALL_LINES))]
+    sums = [" + ".join(terms), *[" + ".join(t for j, t in enumerate(terms) if j != i) for i in range(len(terms))]]
+    gaps = ", ".join(f"{s} AS d{i}" for i, s in enumerate(sums))
+    widths = ", ".join(f"max(CASE WHEN own = label THEN d{i} * n / (n - 1) END) AS near{i}, min(CASE WHEN own <> label THEN d{i} END) AS far{i}" for i in range(len(sums)))
+    means = ", ".join(f"avg((far{i} - near{i}) / greatest(far{i}, near{i})) AS s{i}" for i in range(len(sums)))
+    rows = " UNION ALL ".join(f"SELECT '{c}' AS feature, s0 AS base, s{i + 1} AS without FROM s" for i, c in enumerate(ALL_LINES))
+    return f"""t AS (SELECT row_number() OVER () AS id, l_returnflag AS own, {", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(ALL_LINES))} FROM lineitem),
+    g AS (SELECT l_returnflag AS label, count(*) AS n, {moments} FROM lineitem GROUP BY 1), p AS (SELECT t.id, t.own, g.label, g.n, {gaps} FROM t, g),
+    w AS (SELECT id, {widths} FROM p GROUP BY id), s AS (SELECT {means} FROM w), drops AS ({rows})"""
+
+
+@query(
+    "g06_silhouette_drop_squared",
+    f"WITH {_squared_drop_ctes()} SELECT feature, {r('base', 'base')}, {r('without', 'without')}, {r('base - without', 'importance')} FROM drops",
+)
+def g06_squared(spark, sf):
+    return rounded(segments.silhouette_drop(table(spark, sf, "lineitem"), FLAG, ALL_LINES, LINE_ID))
+
+
+@query(
+    "g07_combined_importance_squared",
+    f"""WITH {_squared_drop_ctes()}, joined AS (SELECT feature, f, base - without AS d FROM drops JOIN ({_anova_sql(ALL_LINES)}) USING (feature)),
+    norm AS (SELECT *, (f - min(f) OVER ()) / (max(f) OVER () - min(f) OVER ()) AS fa, (d - min(d) OVER ()) / (max(d) OVER () - min(d) OVER ()) AS da FROM joined)
+    SELECT feature, {r('f', 'anova_score')}, {r('d', 'silhouette_score')}, {r('fa', 'anova_norm')}, {r('da', 'silhouette_norm', 4)}, {r('(fa + da) / 2', 'combined_importance', 4)} FROM norm""",
+)
+def g07_squared(spark, sf):
+    scores = rounded(segments.combined_importance(table(spark, sf, "lineitem"), FLAG, ALL_LINES, LINE_ID).drop("anova_p_value"))
+    return scores.withColumns({c: F.round(c, 4) + F.lit(0.0) for c in ("silhouette_norm", "combined_importance")})
+
+
 @query("g08_top_features", f"SELECT CAST(row_number() OVER (ORDER BY f DESC) AS INTEGER) AS rank, feature, {r('f', 'score')}, 'anova_f' AS rule FROM ({_anova_sql(LINES)}) ORDER BY f DESC LIMIT 2")
 def g08(spark, sf):
     return rounded(segments.top_features(_lines(spark, sf), FLAG, 2))

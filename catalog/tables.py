@@ -260,30 +260,47 @@ def a07(spark, sf):
 CORRELATED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
+NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *CORRELATED]
+
+
 def _correlation_sql():
     parts = []
-    for i, a in enumerate(CORRELATED):
-        for j, b in enumerate(CORRELATED):
+    for i, a in enumerate(NUMBERS):
+        for j, b in enumerate(NUMBERS):
             value = f"corr({a}, {b})" if i != j else "avg(1.0)"
             high = f"abs({value}) > 0.8" if i < j else "false"
             parts.append(f"SELECT '{a}' AS col1, '{b}' AS col2, {r(value, 'correlation')}, {high} AS is_high FROM {LINE_GAPS}")
     return union_all(parts)
 
 
-LINE_GAPS = "(SELECT CASE WHEN l_linenumber <> 7 THEN l_quantity END AS l_quantity, CASE WHEN l_suppkey % 9 <> 0 THEN l_extendedprice END AS l_extendedprice, l_discount, l_tax FROM lineitem)"
+LINE_GAPS = "(SELECT * REPLACE (CASE WHEN l_linenumber <> 7 THEN l_quantity END AS l_quantity, CASE WHEN l_suppkey % 9 <> 0 THEN l_extendedprice END AS l_extendedprice) FROM lineitem)"
 
 
 @query("a08_correlation_matrix", _correlation_sql())
 def a08(spark, sf):
-    rows = table(spark, sf, "lineitem").select(
-        F.when(F.col("l_linenumber") != 7, F.col("l_quantity")).alias("l_quantity"),
-        F.when(F.col("l_suppkey") % 9 != 0, F.col("l_extendedprice")).alias("l_extendedprice"),
-        "l_discount",
-        "l_tax",
+    """All numeric columns, two of them with gaps."""
+    rows = table(spark, sf, "lineitem").withColumns(
+        {
+            "l_quantity": F.when(F.col("l_linenumber") != 7, F.col("l_quantity")),
+            "l_extendedprice": F.when(F.col("l_suppkey") % 9 != 0, F.col("l_extendedprice")),
+        }
     )
     return rounded(profile.correlation_matrix(rows))
 
 
+@query(
+    "a08_correlation_wide",
+    f"""WITH v AS (SELECT vec_id, embedding FROM embeddings), s AS (SELECT i, j,
+    corr(CASE WHEN vec_id % 64 <> i THEN CAST(embedding[i + 1] AS DOUBLE) END, CASE WHEN vec_id % 64 <> j THEN CAST(embedding[j + 1] AS DOUBLE) END) AS c
+    FROM v, range(64) AS a(i), range(64) AS b(j) GROUP BY i, j)
+    SELECT 'e' || i AS col1, 'e' || j AS col2, {r('CASE WHEN i = j THEN 1.0 ELSE c END', 'correlation')}, i < j AND abs(c) > 0.8 AS is_high FROM s""",
+)
+def a08_wide(spark, sf):
+    """All 64 components, each with gaps of its own: 2,080 pairs in one scan."""
+    cells = [F.when(F.col("vec_id") % 64 != i, F.get("embedding", F.lit(i)).cast("double")).alias(f"e{i}") for i in range(64)]
+    return rounded(profile.correlation_matrix(table(spark, sf, "embeddings").select(*cells)))
+
+
 def _histogram_sql(source, columns, bins=30):
     return union_all(
         f"""SELECT '{c}' AS "column", CAST(b AS INTEGER) AS bin, round(lo + (hi - lo) * b / {bins}, 6) + 0.0 AS "left", coalesce(n, 0) AS n,

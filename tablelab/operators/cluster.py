@@ -166,15 +166,29 @@ def fit_gmm(
     return Clustering("gmm", params, mixture, order_labels(mixture.means, [sizes.get(i, 0) for i in range(len(mixture.means))]), vector, details)
 
 
+#: Random starts of Spark's mixture estimator.
+STARTS = 8
+
+
 def fit_gmm_builtin(
-    df: DataFrame, k: int, *, max_iter: int = 100, tol: float = 1e-3, seed: int = 42, vector: str = "features"
+    df: DataFrame, k: int, *, max_iter: int = 100, tol: float = 1e-3, n_init: int = STARTS, seed: int = 42, vector: str = "features"
 ) -> Clustering:
-    """Spark's own mixture estimator: full covariance, no regularisation term."""
-    model = GaussianMixture(
-        k=k, maxIter=max_iter, tol=tol, seed=seed, featuresCol=vector, predictionCol="__raw", probabilityCol="__probability"
-    ).fit(vectors_only(df, vector))
+    """Spark's own mixture estimator: full covariance, no regularisation term.
+
+    Its starts are random, and a poor one leaves groups together: the best of
+    ``n_init`` by likelihood is kept, the first one on ties.
+    """
+    rows = vectors_only(df, vector)
+
+    def start(i: int):
+        return GaussianMixture(
+            k=k, maxIter=max_iter, tol=tol, seed=seed + i, featuresCol=vector, predictionCol="__raw", probabilityCol="__probability"
+        ).fit(rows)
+
+    models = in_parallel([partial(start, i) for i in range(n_init)], 4)
+    model = max(models, key=lambda m: m.summary.logLikelihood)
     means = np.array([r["mean"].toArray() for r in model.gaussiansDF.collect()])
-    params = {"n_components": k, "covariance_type": "full", "max_iter": max_iter}
+    params = {"n_components": k, "covariance_type": "full", "max_iter": max_iter, "n_init": n_init}
     return Clustering("gmm_builtin", params, model, order_labels(means, model.summary.clusterSizes), vector, {"log_likelihood": model.summary.logLikelihood})
 
 

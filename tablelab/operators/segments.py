@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tablelab.functions.columns import clean, draw_share, long_form, number, numeric_columns, ref, tidy
 from tablelab.functions.stats import f_upper_tail
-from tablelab.operators.quality import CELL_ROWS, MAX_LABELS, cluster_moments, points, silhouette_without
+from tablelab.operators.quality import CELL_ROWS, MAX_LABELS, MODES, cluster_moments, points, silhouette_without, squared_without
 
 NO_MODE = "N/A"
 
@@ -110,21 +110,28 @@ def anova_f(
 
 
 def silhouette_drop(
-    df: DataFrame, label: str, features: Sequence[str], key: Sequence[str], *, cell_rows: int = CELL_ROWS
+    df: DataFrame, label: str, features: Sequence[str], key: Sequence[str], *, mode: str = "squared", cell_rows: int = CELL_ROWS
 ) -> DataFrame:
-    """Fall of the silhouette when a feature is left out, all in one pair pass."""
+    """Fall of the silhouette when a feature is left out, all features in one pass.
+
+    ``mode`` names the distance: ``squared`` (linear work) or ``euclidean``
+    (quadratic work, by name only). Both use all rows.
+    """
+    if mode not in MODES:
+        raise ValueError(f"unknown mode {mode!r}, expected one of {MODES}")
     pts = points(df, features, label, key)
-    base, without = silhouette_without(pts, cluster_moments(pts, len(features)), cell_rows=cell_rows)
+    moments = cluster_moments(pts, len(features))
+    base, without = squared_without(pts, moments) if mode == "squared" else silhouette_without(pts, moments, cell_rows=cell_rows)
     rows = [(f, base, w, base - w) for f, w in zip(features, without)]
     return df.sparkSession.createDataFrame(rows, "feature string, base double, without double, importance double")
 
 
 def combined_importance(
-    df: DataFrame, label: str, features: Sequence[str], key: Sequence[str], *, cell_rows: int = CELL_ROWS
+    df: DataFrame, label: str, features: Sequence[str], key: Sequence[str], *, mode: str = "squared", cell_rows: int = CELL_ROWS
 ) -> DataFrame:
-    """ANOVA and silhouette scores, each scaled to 0..1, and their mean."""
+    """ANOVA and silhouette scores, each scaled to 0..1, and their mean. ``mode`` as in :func:`silhouette_drop`."""
     anova = anova_f(df, label, features)
-    drop = silhouette_drop(df, label, features, key, cell_rows=cell_rows).select("feature", "importance")
+    drop = silhouette_drop(df, label, features, key, mode=mode, cell_rows=cell_rows).select("feature", "importance")
     table = anova.join(drop, "feature").select(
         "feature",
         F.col("f_score").alias("anova_score"),

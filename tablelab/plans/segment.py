@@ -13,6 +13,7 @@ from tablelab.functions.columns import ref
 from tablelab.operators.cluster import LABEL, Clustering
 from tablelab.operators.reduce import Components, as_doubles, assemble, check_complete, fit_pca
 from tablelab.operators.search import Search, Trial, compare_clusterings, tune_grid, tune_random
+from tablelab.operators.tuner import tune_learning
 from tablelab.operators.segments import cluster_mode, cluster_profiles, cluster_sizes, cluster_spend_summary
 from tablelab.operators.select import align_to_source, model_inputs, split_target
 from tablelab.plans.prepare import Preparation, fit_preparation
@@ -72,6 +73,9 @@ class Segmentation:
         return self.labelled.select(*[ref(k) for k in self.model.key], ref(LABEL))
 
 
+TUNERS = {"learning": tune_learning, "random": tune_random, "grid": tune_grid}
+
+
 def segment_table(
     df: DataFrame,
     key: Sequence[str],
@@ -85,7 +89,7 @@ def segment_table(
     tune: str | None = None,
     tune_trials: int = 30,
     tune_space: dict | None = None,
-    tune_with: str = "random",
+    tune_with: str = "learning",
     metric: str = "silhouette",
     mode: str = "squared",
     seed: int = 42,
@@ -113,7 +117,9 @@ def segment_table(
     frame = materialise(vectors, key)
     search = compare_clusterings(frame, algorithms, key=key, metric=metric, mode=mode, seed=seed, vector=VECTOR, ready=True)
     if tune:
-        tuner = tune_grid if tune_with == "grid" else tune_random
+        if tune_with not in TUNERS:
+            raise ValueError(f"unknown tuner {tune_with!r}, expected one of {tuple(TUNERS)}")
+        tuner = TUNERS[tune_with]
         tuned = tuner(
             frame, tune, key=key, n_trials=tune_trials, space=tune_space, metric=metric, mode=mode, seed=seed,
             vector=VECTOR, first_number=len(search.trials), ready=True,
