@@ -38,7 +38,12 @@ def canonical(value) -> str:
             return int(x) if x.is_integer() and abs(x) < 2**53 else x
         return x
 
-    return json.dumps(plain(value), sort_keys=True, ensure_ascii=False, separators=(",", ":"), allow_nan=False)
+    return escaped(json.dumps(plain(value), sort_keys=True, ensure_ascii=False, separators=(",", ":"), allow_nan=False))
+
+
+def escaped(text: str) -> str:
+    """Surrogates without a partner, which no UTF-8 text can hold, as JSON escapes."""
+    return _SURROGATE.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
 
 
 def problems(value, schema: Mapping, path: str = "$") -> list[str]:
@@ -90,7 +95,8 @@ def references(value) -> list[str]:
     return [r for v in value for r in references(v)] if isinstance(value, list) else []
 
 
-CHECKED = "conv_id long, turn long, kind string, role string, name string, call_id string, content string, arguments string, needs array<string>, errors array<string>"
+_SURROGATE = re.compile("[\ud800-\udfff]")
+CHECKED = "turn long, kind string, role string, name string, call_id string, content string, arguments string, needs array<string>, errors array<string>"
 
 
 def checked(messages: DataFrame, schemas: Mapping[str, Mapping]) -> DataFrame:
@@ -105,8 +111,8 @@ def checked(messages: DataFrame, schemas: Mapping[str, Mapping]) -> DataFrame:
             if kind == CALL:
                 try:
                     value = json.loads(given or "")
-                    text, wants = canonical(value), sorted(set(references(value)))
-                    wrong += problems(value, schemas[name]) if name in schemas else ["unknown tool"]
+                    text, wants = canonical(value), sorted(set(map(escaped, references(value))))
+                    wrong += map(escaped, problems(value, schemas[name])) if name in schemas else ["unknown tool"]
                 except (ValueError, RecursionError):
                     text = None
                     wrong.append("arguments are no JSON")
@@ -120,8 +126,8 @@ def checked(messages: DataFrame, schemas: Mapping[str, Mapping]) -> DataFrame:
         )
 
     rows = pick(messages, **{c: c for c in ("conv_id", "turn", "kind", "role", "name", "call_id", "content", "arguments")})
-    rows = rows.withColumns({"conv_id": F.col("conv_id").cast("long"), "turn": F.col("turn").cast("long"), "kind": F.coalesce("kind", F.lit(MESSAGE))})
-    return mapped(rows, step, CHECKED, "content")
+    rows = rows.withColumns({"turn": F.col("turn").try_cast("long"), "kind": F.coalesce("kind", F.lit(MESSAGE))})
+    return mapped(rows, step, T.StructType([rows.schema["conv_id"], *T.StructType.fromDDL(CHECKED).fields]), "content")
 
 
 def levels(calls: DataFrame, edges: DataFrame) -> DataFrame:
@@ -156,6 +162,7 @@ def link(messages: DataFrame, schemas: Mapping[str, Mapping]) -> DataFrame:
     calls, or results, with one identifier the one of the least turn counts
     (of one turn, the least content); others are errors and unlinked. A result
     before its call, a needed call that is missing, and a cycle are errors.
+    A conv_id may be of any type; a turn that is no whole number counts as null.
 
     ``level`` orders a conversation: needs first, then turn. Where every need
     stands earlier by turn the turns are in order already and level is 0;
@@ -224,10 +231,13 @@ def written(rows: DataFrame) -> DataFrame:
         out = []
         for kind, role, name, call, content, given in zip(*[batch.column(c).to_pylist() for c in ("kind", "role", "name", "call_id", "content", "arguments")]):
             if kind == CALL:
-                body = {"role": role or "assistant", "tool_calls": [{"id": call, "type": "function", "function": {"name": name, "arguments": None if given is None else json.loads(given)}}]}
-                if content is not None:
-                    body["content"] = content
-            elif kind == RESULT:
+                # Arguments are canonical already, however deep: they are put in as they stand, the keys in order.
+                body = {"role": role or "assistant"} | ({} if content is None else {"content": content})
+                function = f'{{"arguments":{"null" if given is None else given},"name":{canonical(name)}}}'
+                calls = f'"tool_calls":[{{"function":{function},"id":{canonical(call)},"type":"function"}}]'
+                out.append(f"{canonical(body)[:-1]},{calls}}}")
+                continue
+            if kind == RESULT:
                 body = {"role": role or "tool", "tool_call_id": call, "content": content}
             else:
                 body = {"role": role, "content": content}
@@ -254,7 +264,7 @@ def from_turns(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", r
     A call names the turn before it as context. Identifiers are
     ``conversation:turn`` of the user's turn. Other turns are plain messages.
     """
-    rows = pick(turns, conv_id=conv_id, turn=turn, role=role, text=text)
+    rows = pick(turns, conv_id=conv_id, turn=turn, role=role, text=text).withColumn("turn", F.col("turn").try_cast("long"))
     user, answer = F.col("role") == "user", F.col("role") == "assistant"
     name = lambda back: F.concat_ws(":", F.col("conv_id").cast("string"), (F.col("turn") - back).cast("string"))
     context = F.when(F.col("turn") >= 2, F.struct(name(2).alias(REFERENCE)))
