@@ -39,6 +39,9 @@ BASE64_RUN = re.compile(r"[A-Za-z0-9+/\x00]{16,}(?:[ \t]*[\r\n]+[ \t]*[A-Za-z0-9
 HEX_RUN = re.compile(r"[0-9A-Fa-f]{16,}(?:[ \t]*[\r\n]+[ \t]*[0-9A-Fa-f]+)*")
 LEAST_RUN = {"base64": 40, "hex": 48}
 JWT = re.compile(r"[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
+#: A brace and what may follow it, in base64, not within a word.
+JWT_START = re.compile(r"(?<![A-Za-z0-9])e[yw](?=[A-Za-z0-9_-]{8})")
+JSON_START = re.compile(rb"\{\s*(?:\"|$)")
 
 _HEX_BYTES = bytes(120 if chr(b) in "0123456789abcdef" else 32 for b in range(256))
 _RUN_BYTES = bytes(120 if chr(b).isalnum() and b < 128 or chr(b) in "+/\0" else 32 for b in range(256))
@@ -142,6 +145,20 @@ def signed_token(text: str) -> bool:
     return all(isinstance(p, dict) for p in parts) and isinstance(parts[0].get("alg"), str) and (bool(sign) or parts[0]["alg"] == "none")
 
 
+def token_spans(text: str) -> list[tuple[int, int]]:
+    """Signed tokens, sought at every place where a header may start, also behind ``session_`` or ``auth.``."""
+    out, end = [], 0
+    for start in JWT_START.finditer(text):
+        at = start.start()
+        if at < end or not JSON_START.match(base64.urlsafe_b64decode(text[at : at + 8])):
+            continue
+        found = JWT.match(text, at)
+        if found and signed_token(found[0]):
+            out.append(found.span())
+            end = found.end()
+    return out
+
+
 def _decoded(text: str) -> bytes | None:
     try:
         return base64.b64decode(text + "=" * (-len(text) % 4), validate=True)
@@ -243,8 +260,8 @@ def structural_spans(text: str, raw: bytes) -> list[tuple[int, int, str]]:
         for code, runs in (("base64", BASE64_RUN), ("hex", HEX_RUN)):
             for m in runs.finditer(plain):
                 out += run_spans(m, code)
-    if b"eyJ" in raw:
-        out += [(*m.span(), "jwt") for m in JWT.finditer(text) if m[0].startswith("eyJ") and signed_token(m[0])]
+    if b"ey" in raw or b"ew" in raw:
+        out += [(*s, "jwt") for s in token_spans(text)]
     return list(dict.fromkeys(out))
 
 
