@@ -95,25 +95,6 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return cells.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def modes(df: DataFrame, columns: Sequence[str], where: dict[str, Column] | None = None) -> dict:
-    """Most frequent value per column, the smallest on ties; absent if all missing."""
-    by_type: dict[str, list[str]] = {}
-    for c in columns:
-        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
-    found: dict = {}
-    for names in by_type.values():
-        values = {c: F.when(where[c], clean(df, c)) if where and c in where else clean(df, c) for c in names}
-        counts = (
-            long_form(df, values)
-            .where(F.col("value").isNotNull())
-            .groupBy("column", "value")
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        best = counts.groupBy("column").agg(F.min(F.struct((-F.col("n")).alias("rank"), "value")).alias("best"))
-        found.update({r["column"]: r["best"]["value"] for r in best.collect()})
-    return found
-
-
 def literal(df: DataFrame, name: str, value) -> Column:
     """A literal of the column's own type, independent of the Python time zone."""
     kind = df.schema[name].dataType

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablelab.functions.columns import DATETIME, FRACTIONAL, NUMERIC, all_of, clean, literal, modes, number, ref
+from tablelab.functions.columns import DATETIME, FRACTIONAL, NUMERIC, all_of, clean, literal, number, ref
+from tablelab.functions.frequent import modes
 from tablelab.functions.ordering import ROWS_PER_BUCKET, ordered_fill
 from tablelab.functions.quantiles import quantiles
 

@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablelab.functions.columns import long_form, modes, number, numeric_columns, ref
+from tablelab.functions.columns import long_form, number, numeric_columns, ref
+from tablelab.functions.frequent import modes
 from tablelab.functions.quantiles import quantiles
 from tablelab.operators.forest import ForestFit, fit_forest
 

@@ -18,9 +18,9 @@ from tablelab.functions.columns import (
     ref,
     string_columns,
     tidy,
-    value_counts,
 )
 from tablelab.functions.comoments import correlation, pair_sums
+from tablelab.functions.frequent import frequent_values
 from tablelab.functions.quantiles import Central, quantiles
 
 
@@ -104,38 +104,46 @@ def _shape(c: Central, constant: bool) -> tuple[float | None, float | None, floa
 
 
 def categorical_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Distinct values, missing cells and the most frequent value per text column.
+
+    Distinct values are told apart by prints of 128 bits, so values themselves
+    are not shuffled; the top value comes from bounded summaries.
+    """
     names = list(columns) if columns is not None else string_columns(df)
+    if not names:
+        return df.sparkSession.createDataFrame([], "column string, unique_count bigint, missing_count bigint, top_value string, top_count bigint, top_percent double")
+    values = {c: clean(df, c) for c in names}
+    prints = {c: F.when(v.isNotNull(), F.struct(F.xxhash64(v).alias("p0"), F.xxhash64(F.lit(1), v).alias("p1"))) for c, v in values.items()}
     # Missing cells are counted in the same shuffle, as the NULL value of a column.
-    cells = long_form(df, {c: clean(df, c) for c in names})
-    counts = cells.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    present = F.col("value").isNotNull()
-    best = F.min(F.when(present, F.struct((-F.col("n")).alias("rank"), "value"))).alias("best")
+    counts = long_form(df, prints).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    there = F.col("value").isNotNull()
     table = counts.groupBy("column").agg(
         F.count("value").alias("unique_count"),
-        F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0)).alias("missing_count"),
-        F.sum(F.when(present, F.col("n"))).alias("present"),
-        best,
+        F.coalesce(F.sum(F.when(~there, F.col("n"))), F.lit(0)).alias("missing_count"),
+        F.sum(F.when(there, F.col("n"))).alias("present"),
     )
-    return table.select(
+    # One row per column.
+    top = frequent_values(df, values)[0].select("column", F.col("value").alias("top_value"), F.col("n").alias("top"))
+    return table.join(F.broadcast(top), "column", "left").select(
         "column",
         "unique_count",
         "missing_count",
-        F.col("best.value").alias("top_value"),
-        F.coalesce(-F.col("best.rank"), F.lit(0)).alias("top_count"),
-        F.coalesce(-F.col("best.rank") / F.col("present") * 100, F.lit(0.0)).alias("top_percent"),
+        "top_value",
+        F.coalesce("top", F.lit(0)).alias("top_count"),
+        F.coalesce(F.col("top") / F.col("present") * 100, F.lit(0.0)).alias("top_percent"),
     )
 
 
 def top_values(df: DataFrame, columns: Sequence[str] | None = None, n: int = 10) -> DataFrame:
     """Most frequent values per column; equal counts are ordered by value.
 
-    The row-number filter is applied per map task before the shuffle
-    (window group limit), so a column with very many values stays cheap.
+    A summary and, if need be, a count of the candidates: see
+    :func:`tablelab.functions.frequent.frequent_values`.
     """
     names = list(columns) if columns is not None else string_columns(df)
-    order = Window.partitionBy("column").orderBy(F.col("n").desc(), F.col("value"))
-    ranked = value_counts(df, names).withColumn("rank", F.row_number().over(order))
-    return ranked.where(F.col("rank") <= n)
+    if not names:
+        return df.sparkSession.createDataFrame([], "column string, value string, n bigint, rank int")
+    return frequent_values(df, {c: clean(df, c) for c in names}, n)[0]
 
 
 def row_prints(df: DataFrame, names: Sequence[str]) -> list[Column]:

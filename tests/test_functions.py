@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablelab.functions import lookup
-from tablelab.functions.columns import modes, value_counts
+from tablelab.functions.columns import value_counts
+from tablelab.functions.frequent import modes
 from tablelab.functions.ordering import bucket_of, global_row_number, insertion_point, number_array, ordered_fill, range_bounds
 from tablelab.functions.quantiles import Central, quantiles
 from tablelab.functions.stats import f_upper_tail
