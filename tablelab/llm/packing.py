@@ -9,9 +9,11 @@ is summed across tasks; ids never cross the network.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ BLOCK = 1024
 _SMALL = "a-z\u00df-\u00f6\u00f8-\u024f"
 _PLAIN = re.compile(f"[{_SMALL}!-&(-@\\[-`{{-~]+")
 _RUN = re.compile(f"[{_SMALL}]+|[^{_SMALL}]+")
-_LETTERS = re.compile(f"[{_SMALL}]+")
+_ASCII_SIGNS = frozenset(chr(c) for c in range(128) if not chr(c).isalpha())
 
 
 def _byte_signs() -> list[str]:
@@ -73,39 +75,52 @@ class ChunkIds:
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
-    @staticmethod
-    def _runs(piece: str) -> list[str]:
-        """The piece cut between letters and other signs, or whole where a word may reach over such a border."""
-        return _RUN.findall(piece) if _PLAIN.fullmatch(piece) and piece.lower() == piece else [piece]
-
-    def _letters(self, run: str) -> bytes:
-        """Ids of a run of small letters: what the normaliser leaves as it is goes to the model as bytes."""
-        word = run if run.isascii() else "".join(map(_BYTE_SIGNS.__getitem__, run.encode()))
-        return self._bytes([t.id for t in self.model.tokenize(word)])
-
     def _recall(self, wanted: set[str]) -> set[str]:
         """Those of the pieces that are not known; older ones become young again."""
-        again = wanted & self.old.keys()
+        new = wanted.difference(self.held)
+        again = new.intersection(self.old)
         self.held.update(zip(again, map(self.old.__getitem__, again)))
-        return wanted - self.held.keys()
+        return new.difference(again)
 
     def _learn(self, pieces: set[str]) -> None:
-        runs = {p: self._runs(p) for p in self._recall(pieces)}
-        new = self._recall(set().union(*runs.values()))
-        letters = {r for r in new if _LETTERS.fullmatch(r) and r.lower() == r}
-        self.held.update((r, self._letters(r)) for r in letters)
-        rest = list(new - letters)
-        for run, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self.held[run] = self._bytes(found.ids)
-        for piece, parts in runs.items():
-            if piece not in self.held:
-                self.held[piece] = b"".join(map(self.held.__getitem__, parts))
+        letters: set[str] = set()
+        rest: set[str] = set()
+        cut: list[tuple[str, list[str]]] = []
+        for piece in self._recall(pieces):
+            if piece.isascii() and piece.isalpha():
+                letters.add(piece)
+            elif _PLAIN.fullmatch(piece) and piece.lower() == piece:
+                runs = _RUN.findall(piece)
+                cut.append((piece, runs))
+                for run in runs:
+                    (letters if run[0] not in _ASCII_SIGNS else rest).add(run)
+            else:  # a word may reach over the border of letters
+                rest.add(piece)
+        if cut:
+            letters, rest = self._recall(letters), self._recall(rest)
+        held, tokenize, kind = self.held, self.model.tokenize, self.kind.char
+        for run in letters:
+            # What the normaliser leaves as it is goes to the model as signs for bytes.
+            word = run if run.isascii() else "".join([_BYTE_SIGNS[b] for b in run.encode()])
+            held[run] = array(kind, [t.id for t in tokenize(word)]).tobytes()
+        whole = list(rest)
+        for run, found in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
+            held[run] = array(kind, found.ids).tobytes()
+        for piece, runs in cut:
+            held[piece] = b"".join([held[r] for r in runs])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.held) > self.limit:
             self.old, self.held = self.held, {}
+        gc.disable()  # lists of pieces come and go, none refers to itself
+        try:
+            return self._encode(texts)
+        finally:
+            gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         split = [None if "<|" in t else t.encode("utf-8").translate(LOWER).decode("utf-8").replace("\n", " ").split(" ") for t in texts]
-        self._learn(set().union(*[x for x in split if x]) - self.held.keys())
+        self._learn(set().union(*[x for x in split if x]))
         held = self.held.__getitem__
         return [self._bytes(self.tokenizer.encode(t, add_special_tokens=False).ids) if x is None else b"".join(map(held, x)) for t, x in zip(texts, split)]
 
