@@ -22,7 +22,7 @@ SUMS = ("n", "x", "y", "xx", "yy", "xy")
 
 def _origin(cells: DataFrame) -> np.ndarray:
     """By column a value of the first rows, the middle one; 0 without any."""
-    first = cells.limit(ORIGIN_ROWS).toPandas().to_numpy(dtype=float)
+    first = np.array([tuple(r) for r in cells.limit(ORIGIN_ROWS).collect()], dtype=float).reshape(-1, len(cells.columns))
     out = np.zeros(first.shape[1])
     for i, column in enumerate(first.T):
         there = np.sort(column[np.isfinite(column)])
