@@ -177,6 +177,7 @@ _planted_query("c06_gmm_regularised_planted", lambda f: cluster.fit_gmm(f, 3, re
 _planted_query("c07_bisecting_planted", lambda f: cluster.fit_bisecting(f, 3))
 for _linkage in ("ward", "complete", "average", "single"):
     _planted_query(f"c07_{_linkage}_planted", lambda f, linkage=_linkage: cluster.fit_hierarchical(f, 3, linkage=linkage))
+_planted_query("c07_single_exact_planted", lambda f: cluster.fit_single_linkage(f, 3))
 _planted_query("c08_compare_planted", lambda f: search.compare_clusterings(
     f, {"kmeans": {"n_clusters": [2, 3, 4]}, "gmm": {"n_components": [3, 4]}, "agglo": {"n_clusters": [2, 3]}}, key=LINE_ID, ready=True
 ).best().clustering)

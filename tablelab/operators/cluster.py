@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tablelab.functions.columns import number, ref
 from tablelab.operators.hierarchy import merge_centres
+from tablelab.operators.linkage import link_points
 from tablelab.operators.mixture import Mixture, fit_mixture
 from tablelab.session import in_parallel
 
@@ -136,6 +137,20 @@ def fit_hierarchical(
     return Clustering("agglo", params, model, [order[g] for g in groups], vector, {"micro_clusters": len(centers)})
 
 
+def fit_single_linkage(
+    df: DataFrame, k: int, *, distance: str = "euclidean", seed: int = 42, vector: str = "features", **options
+) -> Clustering:
+    """Single linkage of all distinct rows, without micro-clusters: the spanning tree cut at its ``k - 1`` longest edges.
+
+    Exact and quadratic where points lie close together, so it is chosen by
+    name. Labels cover the fitted points; other points get null. The tree is
+    ``model.tree``.
+    """
+    model, sizes, middles = link_points(df, k, distance=distance, seed=seed, vector=vector, **options)
+    params = {"n_clusters": k, "linkage": "single", "affinity": distance}
+    return Clustering("single_linkage", params, model, order_labels(middles, sizes), vector, {"points": sum(sizes)})
+
+
 def fit_gmm(
     df: DataFrame,
     k: int,
@@ -199,6 +214,7 @@ FITS = {
     "gmm_builtin": (fit_gmm_builtin, {"n_components": "k"}),
     "agglo": (fit_hierarchical, {"n_clusters": "k", "affinity": "distance"}),
     "bisecting": (fit_bisecting, {"n_clusters": "k"}),
+    "single_linkage": (fit_single_linkage, {"n_clusters": "k", "affinity": "distance"}),
 }
 
 

@@ -35,6 +35,8 @@ def verdict(silhouette):
 def save_model(model: SegmentModel, metrics: dict, path: str, spark: SparkSession, mode: str = "errorifexists") -> None:
     """Write pipeline, parameters, dictionaries and one metadata row under ``path``."""
     clustering = model.clustering
+    if clustering.algorithm == "single_linkage":
+        raise ValueError("single linkage has no rule for new rows; store the labelled rows instead")
     own = isinstance(clustering.model, Mixture)
     stages = [*model.projection.stages] if own else [*model.projection.stages, clustering.model]
     writer = PipelineModel(stages=stages).write()
