@@ -30,10 +30,16 @@ TEMPLATES = (
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL-2.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-2.1-or-later", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0-or-later", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
@@ -46,6 +52,19 @@ TEMPLATES = (
     ("Proprietary", "All rights reserved."),
 )
 
+#: The identifier line of every license above; GNU ones also with the ending that says that no other version is meant.
+SPDX = "SPDX-License-Identifier: "
+TEMPLATES += tuple(
+    (name, SPDX + name + ending)
+    for name in dict.fromkeys(n for n, _ in TEMPLATES if n != "Proprietary")
+    for ending in (("", "-only") if "GPL" in name and "later" not in name else ("",))
+)
+#: What follows an identifier that goes on: another license then, or any later version.
+GOES_ON = re.compile(r"\+|[-.]?[A-Za-z0-9]")
+
+# Words that tell licenses of one family apart.
+DECISIVE = frozenset({"lesser", "affero", "noncommercial", "nc", "sharealike", "sa", "noderivatives", "noderivs", "nd"})
+
 # Words of which a block needs one to be a candidate.
 KEYWORDS = re.compile(r"licen[sc]|copyright|\(c\)|©|rights reserved|public domain|permission|redistribut|warrant|spdx|creative commons|\bcc[ -]by|\bcc0", re.IGNORECASE)
 
@@ -94,6 +113,7 @@ class Templates:
             held = zstandard.ZstdCompressionDict(raw + b" " * max(0, 8 - len(raw)), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.given.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=held, write_content_size=False))
         self.words = [words(text) for _, text in templates]
+        self.spdx = [text.startswith(SPDX) for _, text in templates]
         # Where each run of ANCHOR words stands in the templates.
         self.anchors: dict[tuple[str, ...], list[tuple[int, int]]] = {}
         for i, own in enumerate(self.words):
@@ -105,7 +125,9 @@ class Templates:
         """Per template: share of the block's compressed size that the template saves."""
         raw = _spaced(block)
         alone = len(self.plain.compress(raw))
-        return [(alone - len(c.compress(raw))) / alone for c in self.given]
+        # An identifier line saves nothing that counts in a block without its first word: all its words must be there.
+        marked = b"spdx" in raw
+        return [(alone - len(c.compress(raw))) / alone if marked or not spdx else 0.0 for c, spdx in zip(self.given, self.spdx)]
 
     def _match(self, block: str) -> tuple | None:
         """(template, saved, same, exact, missing, added) of the best confirmed template."""
@@ -121,8 +143,8 @@ class Templates:
             missing = tuple(w for op, a, b, _, _ in steps if op in ("delete", "replace") for w in want[a:b])
             added = tuple(w for op, _, _, a, b in steps if op in ("insert", "replace") for w in own[a:b])
             same = 1 - len(missing) / len(want)
-            # A changed version or clause makes another license: digits and short marks must agree.
-            if same < LEAST_SAME or len(added) > MOST_OTHER * len(want) or any(w[0].isdigit() for w in (*missing, *added)):
+            # A changed version, family or clause makes another license.
+            if same < LEAST_SAME or len(added) > MOST_OTHER * len(want) or any(w[0].isdigit() or w in DECISIVE for w in (*missing, *added)):
                 continue
             found = (i, saved[i], same, not missing and not added, missing, added)
             if best is None or (found[2], -len(added), found[1]) > (best[2], -len(best[5]), best[1]):
@@ -166,6 +188,8 @@ class Templates:
             found = self.match(text[start:end])
             if found:
                 i, saved, same, exact, missing, added = found
+                if self.spdx[i] and (not exact or GOES_ON.match(text, [m.end() for m in WORD.finditer(text, start, end)][-1])):
+                    continue
                 out.append(Match(self.templates[i][0], i, start, end, saved, same, exact, missing, added))
         # Of overlapping blocks the one whose wording differs least stands for the notice.
         kept: list[Match] = []
@@ -224,7 +248,8 @@ def find_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     the template's words found in order), exact, and the words missing and
     added. Null and empty texts have none; every row gets a row. Equal savings
     go to the template listed first. Whole texts are read: a block is a line,
-    a sentence of a line, up to ``MOST_LINES`` lines, or the words that stand as
+    a sentence of a line, an identifier line (word for word; one with ``+`` or
+    of a license not listed is none), up to ``MOST_LINES`` lines, or the words that stand as
     in a template, over any number of lines and blank lines.
     """
     rows = pick(docs, doc_id=doc_id, text=text)
