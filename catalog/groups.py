@@ -652,6 +652,20 @@ def x04(spark, sf):
     return prepare.step_audit(orders, prepare.fit_preparation(orders, ["o_orderkey"], outlier_method="iqr"))
 
 
+@query(
+    "x04_step_run",
+    """WITH n AS (SELECT count(*) AS n, count(*) FILTER (WHERE o_orderkey % 20 = 0) AS m FROM orders)
+    SELECT CAST(column0 AS INTEGER) AS position, column1 AS step, n AS rows_before, n AS rows_after, CAST(column2 AS BIGINT) AS cols_before, CAST(column3 AS BIGINT) AS cols_after,
+    CASE WHEN column0 = 1 THEN m ELSE 0 END AS nulls_before, CAST(0 AS BIGINT) AS nulls_after, column4 AS details
+    FROM (VALUES (1, 'missing', 6, 6, 'o_totalprice:median'), (2, 'outliers', 6, 6, 'o_totalprice:cap'), (3, 'encode', 6, 12, 'o_orderpriority:onehot,o_orderstatus:onehot'), (4, 'dates', 12, 19, 'o_orderdate:parts'), (5, 'scale', 19, 19, 'o_custkey:standard,' || (SELECT string_agg('o_orderdate_' || p || ':standard', ',' ORDER BY p) FROM (VALUES ('year'), ('month'), ('day'), ('dayofweek'), ('is_weekend'), ('is_month_start'), ('is_month_end')) AS d(p)) || ',o_totalprice:standard')) AS v(column0, column1, column2, column3, column4), n""",
+)
+def x04_run(spark, sf):
+    orders = _order_gaps(spark, sf)
+    _, audit = prepare.run_steps(orders, prepare.fit_preparation(orders, ["o_orderkey"], outlier_method="iqr"))
+    done = F.transform(F.array_sort(F.map_entries("details")), lambda e: F.concat_ws(":", e["key"], e["value"]))
+    return audit.withColumn("details", F.array_join(done, ",")).drop("seconds", "columns_treated")
+
+
 @query("x05_save_load_model")
 def x05(spark, sf):
     rows = table(spark, sf, "customer")
