@@ -118,8 +118,18 @@ def _blocks(points: DataFrame, n: int, size: int, seed: int) -> DataFrame:
     return celled.withColumn("block", (at + F.pmod(F.xxhash64("pid"), many)).cast("int")).drop("cell")
 
 
+def _numbered(points: DataFrame) -> DataFrame:
+    """Each point's number is a hash of its value, the same in any attempt; where two points agree in it, another hash is taken."""
+    seed = 0
+    while True:
+        numbered = points.withColumn("pid", F.xxhash64(F.lit(seed), "x").bitwiseAND(F.lit((1 << 63) - 1)))
+        if numbered.groupBy("pid").agg(F.count(F.lit(1)).alias("same")).where("same > 1").isEmpty():
+            return numbered
+        seed += 1
+
+
 def spanning_tree(points: DataFrame, *, distance: str = "euclidean", block: int = BLOCK, seed: int = 42) -> DataFrame:
-    """lo, hi, d: the edges of the minimum spanning tree of ``points`` (pid long, x array of doubles), each point once.
+    """lo, hi, d: the edges of the minimum spanning tree of ``points`` (pid long of 0 or more, x array of doubles), each point once.
 
     Equal lengths go to the lesser points, so the tree is the same for any
     blocks and partitions. No edge for one point or none. More than
@@ -225,7 +235,7 @@ def link_points(
     Copies of a point are one node and never part. A null vector, a missing
     component or (cosine) a row of zeros is an error. With at most ``k``
     distinct points each is its own group. Equally long edges are cut in the
-    order of their points, which go by value.
+    order of their points' numbers, which depend on the values alone.
     """
     if distance not in DISTANCES:
         raise ValueError(f"unknown distance {distance!r}, expected one of {DISTANCES}")
@@ -238,8 +248,7 @@ def link_points(
     if not df.where(bad).isEmpty():
         raise ValueError("single linkage needs whole vectors" + (" that are not all zero" if distance == "cosine" else ""))
     counted = df.select(_direction(x, distance).alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("n"))
-    # Numbers in the order of the values: the partition's place and the row's place in it.
-    points = _stored(counted.orderBy("x").withColumn("pid", F.monotonically_increasing_id()))
+    points = _numbered(_stored(counted))
     if points.isEmpty():
         raise ValueError("single linkage needs at least one row")
     tree = spanning_tree(points.select("pid", "x"), distance=distance, block=block, seed=seed)
