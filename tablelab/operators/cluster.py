@@ -8,11 +8,12 @@ from functools import partial
 
 import numpy as np
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablelab.functions.columns import number, ref
+from tablelab.operators.centres import WEIGHT, best_centres, merge_points
 from tablelab.operators.hierarchy import merge_centres
 from tablelab.operators.linkage import link_points
 from tablelab.operators.mixture import Mixture, fit_mixture
@@ -57,8 +58,12 @@ def order_labels(centers: np.ndarray, sizes: Sequence[float]) -> list[int]:
     return relabel
 
 
-def vectors_only(df: DataFrame, vector: str) -> DataFrame:
-    return df.select(ref(vector))
+def row_counts(model, merged: DataFrame, k: int) -> np.ndarray:
+    """Rows of each raw cluster."""
+    sizes = np.zeros(k)
+    for r in model.transform(merged).groupBy("__raw").agg(F.sum(WEIGHT).alias("n")).collect():
+        sizes[r["__raw"]] = r["n"]
+    return sizes
 
 
 def fit_kmeans(
@@ -71,34 +76,39 @@ def fit_kmeans(
     tol: float = 1e-4,
     seed: int = 42,
     vector: str = "features",
-    parallelism: int = 4,
 ) -> Clustering:
-    """Best of ``n_init`` seeded restarts by within-cluster cost.
+    """Best of ``n_init`` seeded restarts by within-cluster cost, all in one scan per iteration.
 
-    ``df`` is scanned by every restart; pass a materialised frame.
-    ``parallelism`` restarts run side by side.
+    ``df`` is scanned once, to merge equal points; the restarts scan these.
     """
     if init not in INIT_MODES:
         raise ValueError(f"unknown init {init!r}, expected one of {tuple(INIT_MODES)}")
-    rows = vectors_only(df, vector)
-    estimator = KMeans(k=k, initMode=INIT_MODES[init], maxIter=max_iter, tol=tol, featuresCol=vector, predictionCol="__raw")
+    if k < 2 or n_init < 1:
+        raise ValueError(f"{k} clusters from {n_init} starts; at least 2 clusters and 1 start are needed")
+    merged = merge_points(df, vector)
+    centers, sums = best_centres(merged, vector, k, [seed + i for i in range(n_init)], INIT_MODES[init], max_iter, tol)
+    model = _model_of(df, centers, seed, vector)
+    # The model has its own order of the centres.
+    found = np.array(model.clusterCenters())
+    place = [int(((centers - c) ** 2).sum(axis=1).argmin()) for c in found]
+    relabel = order_labels(found, [float(sums.n[i]) for i in place])
+    params = {"n_clusters": k, "init": init, "n_init": n_init, "max_iter": max_iter, "tol": tol}
+    return Clustering("kmeans", params, model, relabel, vector, {"inertia": sums.cost})
 
-    def attempt(number: int):
-        return estimator.copy({estimator.seed: seed + number}).fit(rows)
 
-    models = in_parallel([partial(attempt, i) for i in range(n_init)], parallelism)
-    best = min(models, key=lambda m: m.summary.trainingCost)
-    relabel = order_labels(np.array(best.clusterCenters()), best.summary.clusterSizes)
-    params = {"n_clusters": k, "init": init, "n_init": n_init, "max_iter": max_iter, "tol": tol}
-    return Clustering("kmeans", params, best, relabel, vector, {"inertia": best.summary.trainingCost})
+def _model_of(df: DataFrame, centers: np.ndarray, seed: int, vector: str):
+    """Spark's model with these centres, which can be saved like any other: each centre is the only point of its cluster."""
+    rows = df.sparkSession.createDataFrame([(c.tolist(),) for c in np.unique(centers, axis=0)], "point array<double>")
+    estimator = KMeans(k=max(2, len(centers)), initMode="random", maxIter=1, seed=seed, featuresCol=vector, predictionCol="__raw")
+    return estimator.fit(rows.select(array_to_vector("point").alias(vector)).coalesce(1))
 
 
 def fit_bisecting(df: DataFrame, k: int, *, max_iter: int = 20, seed: int = 42, vector: str = "features") -> Clustering:
     """Top-down hierarchical clustering, the form that needs no pair distances."""
-    model = BisectingKMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=vector, predictionCol="__raw").fit(
-        vectors_only(df, vector)
-    )
-    relabel = order_labels(np.array(model.clusterCenters()), model.summary.clusterSizes)
+    merged = merge_points(df, vector)
+    model = BisectingKMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=vector, predictionCol="__raw", weightCol=WEIGHT).fit(merged)
+    centers = np.array(model.clusterCenters())
+    relabel = order_labels(centers, row_counts(model, merged, len(centers)))
     return Clustering("bisecting", {"n_clusters": k}, model, relabel, vector, {"inertia": model.summary.trainingCost})
 
 
@@ -122,12 +132,14 @@ def fit_hierarchical(
     ``micro`` is part of the result's parameters.
     """
     measure = "cosine" if distance == "cosine" else "euclidean"
-    if measure == "cosine" and not df.where(~F.exists(vector_to_array(ref(vector)), lambda x: x != 0)).isEmpty():
+    merged = merge_points(df, vector)
+    if measure == "cosine" and not merged.where(~F.exists(vector_to_array(ref(vector)), lambda x: x != 0)).isEmpty():
         raise ValueError("cosine distance is not defined for rows of zeros")
     model = KMeans(
-        k=max(micro, k), maxIter=max_iter, seed=seed, featuresCol=vector, predictionCol="__raw", distanceMeasure=measure
-    ).fit(vectors_only(df, vector))
-    centers, sizes = np.array(model.clusterCenters()), np.array(model.summary.clusterSizes)
+        k=max(micro, k), maxIter=max_iter, seed=seed, featuresCol=vector, predictionCol="__raw", distanceMeasure=measure, weightCol=WEIGHT
+    ).fit(merged)
+    centers = np.array(model.clusterCenters())
+    sizes = row_counts(model, merged, len(centers))
     groups = merge_centres(centers, np.maximum(sizes, 1), min(k, len(centers)), linkage, distance)
     count = groups.max() + 1
     total = np.array([sizes[groups == g].sum() for g in range(count)])
@@ -167,12 +179,12 @@ def fit_gmm(
 
     Best of ``n_init`` seeded starts by likelihood. Labels go by assigned rows.
     """
-    points = df.select(vector_to_array(ref(vector)).alias("point"))
+    points = merge_points(df, vector).select(vector_to_array(ref(vector)).alias("point"), WEIGHT)
     starts = [
         fit_mixture(points, k, covariance_type, reg_covar=reg_covar, max_iter=max_iter, tol=tol, seed=seed + i) for i in range(n_init)
     ]
     mixture = max(starts, key=lambda m: m.log_likelihood)
-    found = mixture.assign(points, "point", "__raw").groupBy("__raw").agg(F.count(F.lit(1)).alias("n")).collect()
+    found = mixture.assign(points, "point", "__raw").groupBy("__raw").agg(F.sum(WEIGHT).alias("n")).collect()
     sizes = {r["__raw"]: r["n"] for r in found}
     params = {
         "n_components": k, "covariance_type": covariance_type, "max_iter": max_iter, "reg_covar": reg_covar, "tol": tol, "n_init": n_init
@@ -193,18 +205,18 @@ def fit_gmm_builtin(
     Its starts are random, and a poor one leaves groups together: the best of
     ``n_init`` by likelihood is kept, the first one on ties.
     """
-    rows = vectors_only(df, vector)
+    merged = merge_points(df, vector)
 
     def start(i: int):
         return GaussianMixture(
-            k=k, maxIter=max_iter, tol=tol, seed=seed + i, featuresCol=vector, predictionCol="__raw", probabilityCol="__probability"
-        ).fit(rows)
+            k=k, maxIter=max_iter, tol=tol, seed=seed + i, featuresCol=vector, predictionCol="__raw", probabilityCol="__probability", weightCol=WEIGHT
+        ).fit(merged)
 
     models = in_parallel([partial(start, i) for i in range(n_init)], 4)
     model = max(models, key=lambda m: m.summary.logLikelihood)
     means = np.array([r["mean"].toArray() for r in model.gaussiansDF.collect()])
     params = {"n_components": k, "covariance_type": "full", "max_iter": max_iter, "n_init": n_init}
-    return Clustering("gmm_builtin", params, model, order_labels(means, model.summary.clusterSizes), vector, {"log_likelihood": model.summary.logLikelihood})
+    return Clustering("gmm_builtin", params, model, order_labels(means, row_counts(model, merged, len(means))), vector, {"log_likelihood": model.summary.logLikelihood})
 
 
 # Parameter names of the grids, per algorithm, and the fit that takes them.

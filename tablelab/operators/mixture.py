@@ -19,6 +19,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablelab.operators.centres import WEIGHT, as_blocks, blocks, merge_points, task_sums
+
 COVARIANCES = ("full", "tied", "diag", "spherical")
 
 
@@ -91,21 +93,22 @@ def fit_mixture(
 ) -> Mixture:
     """Expectation maximisation from a k-means start over the array column ``points``.
 
-    ``df`` is scanned once per iteration and should be materialised.
+    Equal points are merged first; the distinct ones are scanned once per iteration.
     """
     if covariance_type not in COVARIANCES:
         raise ValueError(f"unknown covariance type {covariance_type!r}, expected one of {COVARIANCES}")
-    start = KMeans(k=k, seed=seed, featuresCol="__v", predictionCol="__c").fit(
-        df.select(array_to_vector(F.col(points)).alias("__v"))
-    )
+    weight = [WEIGHT] if WEIGHT in df.columns else []
+    merged = merge_points(df.select(array_to_vector(F.col(points)).alias("__v"), *weight), "__v")
+    start = KMeans(k=k, seed=seed, featuresCol="__v", predictionCol="__c", weightCol=WEIGHT).fit(merged)
+    df, _ = as_blocks(merged, "__v")
     centers = np.array(start.clusterCenters())
     k = len(centers)
     origin = centers.mean(axis=0)
-    sums = _sums(df, points, k, origin, centers=centers)
+    sums = _sums(df, k, origin, centers=centers)
     mixture = _maximise(sums, covariance_type, reg_covar, origin)
     history: list[float] = []
     for _ in range(max_iter):
-        sums = _sums(df, points, k, origin, mixture=mixture)
+        sums = _sums(df, k, origin, mixture=mixture)
         history.append(sums[3])
         mixture.log_likelihood = sums[3]
         if len(history) > 1 and abs(history[-1] - history[-2]) < tol:
@@ -117,16 +120,13 @@ def fit_mixture(
     return mixture
 
 
-def _sums(df, points, k, origin, *, mixture: Mixture | None = None, centers: np.ndarray | None = None):
+def _sums(df, k, origin, *, mixture: Mixture | None = None, centers: np.ndarray | None = None):
     """``(n, sum x, sum xx', mean log-likelihood)``, with x taken from ``origin``."""
     d = len(origin)
 
     def partial(batches):
-        n, s, ss, ll, rows = np.zeros(k), np.zeros((k, d)), np.zeros((k, d, d)), 0.0, 0
-        for batch in batches:
-            if len(batch) == 0:
-                continue
-            x = batch.to_numpy(dtype=float)
+        n, s, ss, ll, rows = np.zeros(k), np.zeros((k, d)), np.zeros((k, d, d)), 0.0, 0.0
+        for x, w in blocks(batches, d):
             if mixture is None:
                 nearest = ((x[:, None, :] - centers[None]) ** 2).sum(axis=2).argmin(axis=1)
                 r = np.eye(k)[nearest]
@@ -135,9 +135,10 @@ def _sums(df, points, k, origin, *, mixture: Mixture | None = None, centers: np.
                 top = log_p.max(axis=1, keepdims=True)
                 norm = top + np.log(np.exp(log_p - top).sum(axis=1, keepdims=True))
                 r = np.exp(log_p - norm)
-                ll += float(norm.sum())
-            rows += len(x)
+                ll += float(w @ norm[:, 0])
+            rows += w.sum()
             y = x - origin
+            r *= w[:, None]
             n += r.sum(axis=0)
             s += r.T @ y
             for j in range(k):
@@ -145,16 +146,9 @@ def _sums(df, points, k, origin, *, mixture: Mixture | None = None, centers: np.
         totals = np.zeros((k, 3))
         totals[:, 0] = n
         totals[0, 1:] = ll, rows
-        flat = np.hstack([totals, s, ss.reshape(k, -1)])
-        width = flat.shape[1]
-        positions = {"j": np.repeat(np.arange(k), width), "pos": np.tile(np.arange(width), k)}
-        yield pd.DataFrame({**positions, "v": flat.ravel()}).astype({"j": "int32", "pos": "int32"})
-
-    # One row per component and position keeps the plan the same for any width.
-    parts = df.select(*_coordinates(points, d)).mapInPandas(partial, "j int, pos int, v double")
-    flat = np.zeros((k, 3 + d + d * d))
-    for r in parts.groupBy("j", "pos").agg(F.sum("v").alias("v")).collect():
-        flat[r["j"], r["pos"]] = r["v"]
+        return np.hstack([totals, s, ss.reshape(k, -1)])
+
+    flat = task_sums(df, partial, (k, 3 + d + d * d))
     n, ll, rows = flat[:, 0], flat[0, 1], flat[0, 2]
     return n, flat[:, 3 : 3 + d], flat[:, 3 + d :].reshape(k, d, d), float(ll / rows), int(rows)
 

@@ -43,14 +43,15 @@ def materialise(df: DataFrame, spread_by: Sequence[str] = ()) -> DataFrame:
     costs a re-read of the written files, not a recomputation. ``spread_by``
     (a row key) first evens out the partitions, so that no scan of the loop
     waits for one large file or one half-empty filter result; adaptive
-    execution picks their number.
+    execution picks their number by size: it joins small partitions and cuts
+    large ones, whatever the number of shuffle partitions.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if not context.getCheckpointDir():
         context.setCheckpointDir(scratch_root(spark))
     if spread_by:
-        df = df.repartition(*[ref(c) for c in spread_by])
+        df = df.hint("rebalance", *[ref(c) for c in spread_by])
     return df.checkpoint(eager=True)
 
 
