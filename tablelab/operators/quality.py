@@ -22,6 +22,12 @@ from tablelab.session import materialise
 
 MAX_LABELS = 10_000
 CELL_ROWS = 4096
+#: Larger tables get larger stripes, up to so many rows and doubles: sums leave a cell once per row, so fewer cells move less.
+LARGEST_STRIPE, STRIPE_DOUBLES, STRIPES = 32_768, 1 << 21, 24
+#: Rows and columns of pairs held at once, small enough for a processor's cache.
+TILE = (64, 1024)
+#: From so many features on, distances come from a matrix product.
+PRODUCT_DIMS = 8
 MODES = ("squared", "euclidean")
 CHUNK = 256
 
@@ -110,6 +116,10 @@ def davies_bouldin(pts: DataFrame, m: Moments) -> float:
     spread = np.zeros(m.k)
     for r in spread_rows:
         spread[r["c"]] = r["s"]
+    return _worst_ratios(m, spread)
+
+
+def _worst_ratios(m: Moments, spread: np.ndarray) -> float:
     worst = np.zeros(m.k)
     apart_any = False
     for i in range(m.k):
@@ -144,12 +154,14 @@ def _pair_sums(pts: DataFrame, m: Moments, drop_features: bool, cell_rows: int)
     if rows > cell_rows:
         distinct = materialise(distinct)
         rows = distinct.count()
-    stripes = max(1, math.ceil(rows / cell_rows))
+    largest = min(LARGEST_STRIPE, max(1, STRIPE_DOUBLES // max(dims, 1)))
+    stripes = max(1, math.ceil(rows / max(cell_rows, min(largest, math.ceil(rows / STRIPES)))))
     stripe = F.pmod(F.xxhash64("id"), F.lit(stripes))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(stripes - 1).cast("long")))
     spread = distinct.withColumn("stripe", stripe).withColumn("other", other)
     cell = F.least("stripe", "other") * F.lit(stripes) + F.greatest("stripe", "other")
     variants = [-1, *range(dims)] if drop_features else [-1]
+    origin = (m.n[:, None] * m.mean).sum(axis=0) / m.n.sum()
 
     def cell_sums(rows: pd.DataFrame) -> pd.DataFrame:
         low = rows["stripe"].min()
@@ -166,17 +178,21 @@ def _pair_sums(pts: DataFrame, m: Moments, drop_features: bool, cell_rows: int)
         to_b = to_a if alone else _memberships(right, k)
         sums_a = np.zeros((len(variants), len(a), k))
         sums_b = np.zeros((len(variants), len(b), k))
-        for start in range(0, len(a), CHUNK):
-            part = slice(start, start + CHUNK)
-            squared = np.zeros((len(a[part]), len(b)))
-            for f in range(dims):
-                squared += (a[part, f, None] - b[None, :, f]) ** 2
-            for v, f in enumerate(variants):
-                left_out = 0.0 if f < 0 else (a[part, f, None] - b[None, :, f]) ** 2
-                gap = np.sqrt(np.maximum(squared - left_out, 0.0))
-                sums_a[v, part] += gap @ to_b
-                if not alone:
-                    sums_b[v] += gap.T @ to_a[part]
+        for i in range(0, len(a), TILE[0]):
+            for j in range(0, len(b), TILE[1]):
+                high, wide = slice(i, i + TILE[0]), slice(j, j + TILE[1])
+                squared, parts = _squared_gaps(a[high] - origin, b[wide] - origin, drop_features)
+                gap = np.empty_like(squared)
+                for v, f in enumerate(variants):
+                    if f < 0:
+                        np.sqrt(squared, out=gap)
+                    else:
+                        np.subtract(squared, parts[f], out=gap)
+                        np.maximum(gap, 0.0, out=gap)
+                        np.sqrt(gap, out=gap)
+                    sums_a[v, high] += gap @ to_b[wide]
+                    if not alone:
+                        sums_b[v, wide] += gap.T @ to_a[high]
         out = []
         for side, sums in ((left, sums_a),) if alone else ((left, sums_a), (right, sums_b)):
             for v, f in enumerate(variants):
@@ -198,6 +214,28 @@ def _pair_sums(pts: DataFrame, m: Moments, drop_features: bool, cell_rows: int)
     return parts.groupBy("id", "c", "w", "variant").agg(*totals)
 
 
+def _squared_gaps(a: np.ndarray, b: np.ndarray, by_feature: bool) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Squared distances of all pairs and, if asked, each feature's part of them."""
+    if by_feature or a.shape[1] < PRODUCT_DIMS:
+        total, parts = np.zeros((len(a), len(b))), []
+        for x, y in zip(a.T, b.T):
+            part = np.subtract(x[:, None], y)
+            np.multiply(part, part, out=part)
+            total += part
+            if by_feature:
+                parts.append(part)
+        return total, parts
+    own, other = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
+    sizes = own[:, None] + other
+    total = sizes - 2 * (a @ b.T)
+    # Where nearly all cancels out, too few digits are left.
+    i, j = np.nonzero(total < 1e-6 * sizes)
+    for start in range(0, len(i), CHUNK * 4):
+        part = slice(start, start + CHUNK * 4)
+        total[i[part], j[part]] = ((a[i[part]] - b[j[part]]) ** 2).sum(axis=1)
+    return total, []
+
+
 def _memberships(rows: pd.DataFrame, k: int) -> np.ndarray:
     out = np.zeros((len(rows), k))
     out[np.arange(len(rows)), rows["c"].to_numpy()] = rows["w"].to_numpy()
@@ -314,6 +352,65 @@ def cluster_metrics(pts: DataFrame, *, mode: str = "squared", dims: int | None =
     }
 
 
+def merged_metrics(labelled: DataFrame, vector: str, label: str, weight: str) -> dict:
+    """The metrics of :func:`cluster_metrics` with ``squared`` distances, from distinct points and their numbers of rows."""
+    pts = labelled.where(ref(label).isNotNull()).select(ref(label).alias("label"), vector_to_array(ref(vector)).alias("point"), ref(weight).alias("w"))
+    some = pts.first()
+    dims = len(some["point"]) if some else 0
+    cells = [F.sum(F.get("point", F.lit(i)) * F.col("w")) / F.sum("w") for i in range(dims)]
+    rows = pts.groupBy("label").agg(F.sum("w").alias("n"), F.array(*cells).alias("mean")).orderBy("label").limit(MAX_LABELS + 1).collect()
+    if len(rows) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels; a clustering metric needs a cluster label")
+    labels = [r["label"] for r in rows]
+    size, mean = np.array([r["n"] for r in rows], dtype=float), np.array([r["mean"] for r in rows], dtype=float).reshape(len(rows), dims)
+    k, codes = len(labels), np.array(labels)
+
+    def parts(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, CHUNK * 4):
+                part = batch.slice(start, CHUNK * 4)
+                own = np.searchsorted(codes, part.column("label").to_numpy(zero_copy_only=False))
+                x = part.column("point").flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+                yield own, x, part.column("w").to_numpy(zero_copy_only=False)
+
+    def total(body, width: int) -> np.ndarray:
+        """Sum over the tasks of ``body``, rows of ``width`` numbers by cluster."""
+
+        def one(batches):
+            out = np.zeros((k, width))
+            for own, x, w in parts(batches):
+                for c, v in enumerate(body(own, x, w)):
+                    out[:, c] += np.bincount(own, v, k)
+            yield pa.RecordBatch.from_pydict({"sums": [out.tobytes()]})
+
+        return sum((np.frombuffer(r["sums"]).reshape(k, width) for r in pts.mapInArrow(one, "sums binary").collect()), np.zeros((k, width)))
+
+    def spreads(own, x, w):
+        squares = (x - mean[own]) ** 2
+        return [w * np.sqrt(squares.sum(axis=1)), *(w * squares.T)]
+
+    found = total(spreads, dims + 1) / size[:, None]
+    m = Moments(labels, size, mean, found[:, 1:])
+
+    def widths(own, x, w):
+        gaps = np.stack([((x - mean[j]) ** 2 + m.var[j]).sum(axis=1) for j in range(k)])
+        place = np.arange(len(x))
+        near = gaps[own, place] * (size[own] / np.maximum(size[own] - 1, 1))
+        gaps[own, place] = np.inf
+        far = gaps.min(axis=0)
+        widest = np.maximum(near, far)
+        flat = (size[own] == 1) | (widest == 0)
+        return [w * np.where(flat, 0.0, (far - near) / np.where(flat, 1.0, widest))]
+
+    return {
+        "n_clusters": k,
+        "silhouette": float(total(widths, 1).sum() / size.sum()) if k > 1 else -1.0,
+        "silhouette_mode": "squared",
+        "davies_bouldin": _worst_ratios(m, found[:, 0]) if k > 1 else math.inf,
+        "calinski_harabasz": calinski_harabasz(m),
+    }
+
+
 METRIC_SCHEMA = (
     "n_clusters bigint, silhouette double, silhouette_mode string, davies_bouldin double, calinski_harabasz double"
 )
