@@ -13,8 +13,9 @@ from pyspark.errors import IllegalArgumentException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablelab.operators.centres import WEIGHT, merge_points
 from tablelab.operators.cluster import LABEL, Clustering, fit_algorithm
-from tablelab.operators.quality import cluster_metrics, points_from_vector
+from tablelab.operators.quality import MODES, cluster_metrics, merged_metrics, points_from_vector
 from tablelab.session import in_parallel, materialise
 
 PARALLELISM = 4
@@ -110,21 +111,30 @@ def run_trials(
     first_number: int = 0,
     require_two: bool = False,
     parallelism: int = PARALLELISM,
+    merged: DataFrame | None = None,
 ) -> Search:
     """Fit and measure each ``(algorithm, params)``; a failed one is kept with its message.
 
     ``parallelism`` trials submit their jobs side by side, so that the short
-    stages of one fit fill the gaps of another.
+    stages of one fit fill the gaps of another. Equal points are merged once for
+    all trials (``merged`` if that is done); what needs the rows themselves (exact single linkage, Euclidean
+    silhouettes) takes ``df``.
     """
     if metric not in HIGHER_IS_BETTER:
         raise ValueError(f"unknown metric {metric!r}, expected one of {tuple(HIGHER_IS_BETTER)}")
 
+    if mode not in MODES:
+        raise ValueError(f"unknown mode {mode!r}, expected one of {MODES}")
+    merged = merge_points(df, vector) if merged is None else merged
+
     def attempt(number: int, algorithm: str, params: dict) -> Trial:
         trial = Trial(number, algorithm, params)
         try:
-            clustering = fit_algorithm(df, algorithm, params, seed=seed, vector=vector)
-            labelled = points_from_vector(clustering.transform(df), vector, LABEL, key)
-            trial.metrics = cluster_metrics(labelled, mode=mode)
+            clustering = fit_algorithm(df if algorithm == "single_linkage" else merged, algorithm, params, seed=seed, vector=vector)
+            if mode == "squared":
+                trial.metrics = merged_metrics(clustering.transform(merged), vector, LABEL, WEIGHT)
+            else:
+                trial.metrics = cluster_metrics(points_from_vector(clustering.transform(df), vector, LABEL, key), mode=mode)
             if require_two and trial.metrics["n_clusters"] < 2:
                 trial.error = "one cluster"
             else:

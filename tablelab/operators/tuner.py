@@ -19,6 +19,7 @@ from statistics import NormalDist
 import numpy as np
 from pyspark.sql import DataFrame
 
+from tablelab.operators.centres import merge_points
 from tablelab.operators.search import HIGHER_IS_BETTER, PARALLELISM, SPACES, Search, draw_params, run_trials
 from tablelab.session import materialise
 
@@ -173,13 +174,14 @@ def tune_learning(
     """
     sampler = Sampler(space or SPACES[algorithm], seed, startup)
     frame = df if ready else materialise(df, key)
+    merged = merge_points(frame, options.get("vector", "features"))
     sign = 1 if HIGHER_IS_BETTER[metric] else -1
     trials = []
     while len(trials) < n_trials:
         todo = [(algorithm, sampler.propose()) for _ in range(min(max(parallelism, 1), n_trials - len(trials)))]
         done = run_trials(
             frame, todo, key=key, metric=metric, seed=seed, first_number=first_number + len(trials),
-            require_two=True, parallelism=parallelism, **options,
+            require_two=True, parallelism=parallelism, merged=merged, **options,
         )
         for trial in done.trials:
             value = trial.metrics.get(metric) if trial.clustering is not None else None
