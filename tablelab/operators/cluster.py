@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import partial
 
 import numpy as np
-from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
+from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +15,7 @@ from tablelab.functions.columns import number, ref
 from tablelab.operators.centres import WEIGHT, best_centres, merge_points
 from tablelab.operators.hierarchy import merge_centres
 from tablelab.operators.linkage import link_points
-from tablelab.operators.mixture import Mixture, fit_mixture
-from tablelab.session import in_parallel
+from tablelab.operators.mixture import Mixture, fit_mixture, fit_random_starts
 
 # Names of the start rules and what the Spark estimator calls them.
 INIT_MODES = {"k-means++": "k-means||", "k-means||": "k-means||", "random": "random"}
@@ -184,13 +182,18 @@ def fit_gmm(
         fit_mixture(points, k, covariance_type, reg_covar=reg_covar, max_iter=max_iter, tol=tol, seed=seed + i) for i in range(n_init)
     ]
     mixture = max(starts, key=lambda m: m.log_likelihood)
-    found = mixture.assign(points, "point", "__raw").groupBy("__raw").agg(F.sum(WEIGHT).alias("n")).collect()
-    sizes = {r["__raw"]: r["n"] for r in found}
     params = {
         "n_components": k, "covariance_type": covariance_type, "max_iter": max_iter, "reg_covar": reg_covar, "tol": tol, "n_init": n_init
     }
     details = {"log_likelihood": mixture.log_likelihood, "converged": mixture.converged, "iterations": len(mixture.history)}
-    return Clustering("gmm", params, mixture, order_labels(mixture.means, [sizes.get(i, 0) for i in range(len(mixture.means))]), vector, details)
+    return Clustering("gmm", params, mixture, _by_rows(mixture, points), vector, details)
+
+
+def _by_rows(mixture: Mixture, points: DataFrame) -> list[int]:
+    """Labels of the components, by the rows that go to each."""
+    found = mixture.assign(points, "point", "__raw").groupBy("__raw").agg(F.sum(WEIGHT).alias("n")).collect()
+    sizes = {r["__raw"]: r["n"] for r in found}
+    return order_labels(mixture.means, [sizes.get(i, 0) for i in range(mixture.k)])
 
 
 #: Random starts of Spark's mixture estimator.
@@ -200,23 +203,16 @@ STARTS = 8
 def fit_gmm_builtin(
     df: DataFrame, k: int, *, max_iter: int = 100, tol: float = 1e-3, n_init: int = STARTS, seed: int = 42, vector: str = "features"
 ) -> Clustering:
-    """Spark's own mixture estimator: full covariance, no regularisation term.
+    """The mixture of Spark's estimator: full covariance, random starts, no regularisation term.
 
-    Its starts are random, and a poor one leaves groups together: the best of
-    ``n_init`` by likelihood is kept, the first one on ties.
+    A poor start leaves groups together: the best of ``n_init`` by likelihood
+    is kept. All starts share one scan of the distinct points per iteration.
     """
     merged = merge_points(df, vector)
-
-    def start(i: int):
-        return GaussianMixture(
-            k=k, maxIter=max_iter, tol=tol, seed=seed + i, featuresCol=vector, predictionCol="__raw", probabilityCol="__probability", weightCol=WEIGHT
-        ).fit(merged)
-
-    models = in_parallel([partial(start, i) for i in range(n_init)], 4)
-    model = max(models, key=lambda m: m.summary.logLikelihood)
-    means = np.array([r["mean"].toArray() for r in model.gaussiansDF.collect()])
+    mixture = fit_random_starts(merged, vector, k, [seed + i for i in range(n_init)], max_iter=max_iter, tol=tol)
+    points = merged.select(vector_to_array(ref(vector)).alias("point"), WEIGHT)
     params = {"n_components": k, "covariance_type": "full", "max_iter": max_iter, "n_init": n_init}
-    return Clustering("gmm_builtin", params, model, order_labels(means, row_counts(model, merged, len(means))), vector, {"log_likelihood": model.summary.logLikelihood})
+    return Clustering("gmm_builtin", params, mixture, _by_rows(mixture, points), vector, {"log_likelihood": mixture.log_likelihood})
 
 
 # Parameter names of the grids, per algorithm, and the fit that takes them.

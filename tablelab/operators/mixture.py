@@ -19,9 +19,13 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablelab.operators.centres import WEIGHT, as_blocks, blocks, merge_points, task_sums
+from tablelab.operators.centres import WEIGHT, as_blocks, blocks, draw_points, merge_points, task_sums
 
 COVARIANCES = ("full", "tied", "diag", "spherical")
+#: Drawn points a random start averages per component, and what is added to each density: both as in Spark's estimator.
+SAMPLES, EPSILON = 5, float(np.finfo(float).eps)
+#: Doubles of a work array, small enough for a processor's cache.
+WORK = 1 << 15
 
 
 @dataclass
@@ -33,6 +37,8 @@ class Mixture:
     log_likelihood: float = float("-inf")
     history: tuple[float, ...] = ()
     converged: bool = False
+    #: Whether covariances may be singular: densities then lie in the directions that vary.
+    singular: bool = False
 
     @property
     def k(self) -> int:
@@ -43,6 +49,11 @@ class Mixture:
         n, d = x.shape
         out = np.empty((n, self.k))
         for j in range(self.k):
+            if self.singular:
+                root, height = _root(self.covariances[j])
+                z = (x - self.means[j]) @ root
+                out[:, j] = -0.5 * (z * z).sum(axis=1) + height
+                continue
             lower = np.linalg.cholesky(self.covariances[j])
             z = np.linalg.solve(lower, (x - self.means[j]).T)
             out[:, j] = -0.5 * (z * z).sum(axis=0) - np.log(np.diag(lower)).sum()
@@ -65,6 +76,7 @@ class Mixture:
                 "means": self.means.tolist(),
                 "covariances": self.covariances.tolist(),
                 "log_likelihood": self.log_likelihood,
+                "singular": self.singular,
             }
         )
 
@@ -72,7 +84,7 @@ class Mixture:
     def from_json(cls, text: str) -> Mixture:
         d = json.loads(text)
         arrays = [np.array(d[f]) for f in ("weights", "means", "covariances")]
-        return cls(d["covariance_type"], *arrays, log_likelihood=d["log_likelihood"])
+        return cls(d["covariance_type"], *arrays, log_likelihood=d["log_likelihood"], singular=d.get("singular", False))
 
 
 def _coordinates(points: str, dims: int) -> list[Column]:
@@ -172,6 +184,97 @@ def _maximise(sums, covariance_type: str, reg_covar: float, origin: np.ndarray)
     return Mixture(covariance_type, n / n.sum(), centre + origin, cov)
 
 
+def _root(covariance: np.ndarray) -> tuple[np.ndarray, float]:
+    """Directions that vary, scaled to variance one, and minus half the log of their determinant."""
+    values, vectors = np.linalg.eigh(covariance)
+    kept = values > EPSILON * values.max() * len(values)
+    if not values.max() > 0:
+        raise ValueError("a component without any variance; the mixture has no density")
+    return vectors * np.where(kept, 1 / np.sqrt(np.where(kept, values, 1.0)), 0.0), -0.5 * float(np.log(values[kept]).sum())
+
+
+def fit_random_starts(merged: DataFrame, vector: str, k: int, seeds: Sequence[int], *, max_iter: int = 100, tol: float = 1e-3) -> Mixture:
+    """Full mixture without regularisation, best of several random starts by likelihood, the first one on ties.
+
+    The rules are those of Spark's estimator: a component starts from a few
+    drawn points, and a start ends when its log-likelihood changes by no more
+    than ``tol``. Unlike there, one job per iteration serves all starts. A start
+    whose component falls together into one point is left out.
+    """
+    points, dims = as_blocks(merged, vector)
+    drawn = draw_points(points, dims, SAMPLES * k, seeds)
+    origin = np.vstack(drawn).mean(axis=0)
+    mixtures, history = {}, {i: [float("-inf")] for i in range(len(seeds))}
+    for i, x in enumerate(drawn):
+        slices = np.resize(x, (k, SAMPLES, dims))
+        mixtures[i] = Mixture("full", np.full(k, 1 / k), slices.mean(axis=1), np.stack([np.diag(v) for v in slices.var(axis=1)]), singular=True)
+    moving = list(mixtures)
+    for _ in range(max_iter):
+        moving = [i for i in moving if all(c.any() for c in mixtures[i].covariances)]
+        if not moving:
+            break
+        found = _start_sums(points, origin, [mixtures[i] for i in moving])
+        still = []
+        for i, (n, s, ss, likelihood) in zip(moving, found):
+            centre = s / n[:, None]
+            covariances = ss / n[:, None, None] - centre[:, :, None] * centre[:, None, :]
+            history[i].append(likelihood)
+            done = abs(history[i][-1] - history[i][-2]) <= tol
+            mixtures[i] = Mixture("full", n / n.sum(), centre + origin, covariances, likelihood, tuple(history[i][1:]), done, True)
+            if not done:
+                still.append(i)
+        moving = still
+    usable = [m for m in mixtures.values() if m.history and all(np.linalg.eigvalsh(c).max() > 0 for c in m.covariances)]
+    if not usable:
+        raise ValueError(f"no start of {len(seeds)} keeps {k} components with any variance")
+    return max(usable, key=lambda m: m.log_likelihood)
+
+
+def _start_sums(points: DataFrame, origin: np.ndarray, starts: Sequence[Mixture]) -> list[tuple]:
+    """``(n, sum x, sum xx', log-likelihood)`` of each start, with x taken from ``origin``: one job for all."""
+    d, k, wide = len(origin), starts[0].k, len(starts)
+    # The first component of all starts, then the second one, so that sums over components add whole slices.
+    every = [(m, j) for j in range(k) for m in starts]
+    roots, heights = zip(*[_root(m.covariances[j]) for m, j in every])
+    roots = np.ascontiguousarray(np.stack(roots).transpose(2, 0, 1))
+    shifts = np.einsum("jd,cjd->cj", np.array([m.means[j] - origin for m, j in every]), roots)[:, :, None]
+    heights = (np.array(heights) - 0.5 * d * math.log(2 * math.pi) + np.log([m.weights[j] for m, j in every]))[:, None]
+    pairs = np.triu_indices(d)
+    width = 1 + d + len(pairs[0])
+    rows = max(64, WORK // max(width, len(every)))
+
+    def partial(batches):
+        total = np.zeros((len(every), width + 1))
+        for all_x, all_w in blocks(batches, d):
+            for at in range(0, len(all_x), rows):
+                y, w = np.ascontiguousarray((all_x[at : at + rows] - origin).T), all_w[at : at + rows]
+                p = np.zeros((len(every), len(w)))
+                for root, shift in zip(roots, shifts):
+                    z = root @ y
+                    z -= shift
+                    z *= z
+                    p += z
+                p *= -0.5
+                p += heights
+                np.exp(p, out=p)
+                p += EPSILON
+                split = p.reshape(k, wide, len(w))
+                norm = split.sum(axis=0)
+                total[:wide, 0] += np.log(norm) @ w
+                split *= w / norm
+                total[:, 1:] += p @ np.vstack([np.ones((1, len(w))), y, y[pairs[0]] * y[pairs[1]]]).T
+        return total
+
+    flat = task_sums(points, partial, (len(every), width + 1))
+    out = []
+    for i in range(wide):
+        own = flat[i::wide]
+        squares = np.zeros((k, d, d))
+        squares[:, pairs[0], pairs[1]] = squares[:, pairs[1], pairs[0]] = own[:, 2 + d :]
+        out.append((own[:, 1], own[:, 2 : 2 + d], squares, float(flat[i, 0])))
+    return out
+
+
 def parameter_table(df: DataFrame, mixture: Mixture, features: Sequence[str]) -> DataFrame:
     rows = []
     for j in range(mixture.k):

@@ -3,10 +3,11 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from tablelab.operators import centres, cluster, quality, search
+from tablelab.operators import centres, cluster, mixture, quality, search
 from tablelab.operators.mixture import fit_mixture
 from tablelab.session import materialise
 
@@ -120,3 +121,40 @@ def test_larger_tables_get_larger_stripes(spark):
     parts = quality._pair_sums(pts, m, False, 4)
     assert parts.count() == 400
     assert quality.silhouette(pts, m, cell_rows=4) == pytest.approx(quality.silhouette(pts, m, cell_rows=4096))
+
+
+def test_mixture_starts_share_their_jobs(copies, monkeypatch):
+    """Eight starts took a job each per iteration."""
+    jobs = []
+    monkeypatch.setattr(mixture, "task_sums", lambda *a, run=mixture.task_sums: jobs.append(1) or run(*a))
+    fitted = cluster.fit_gmm_builtin(copies[0], 3, max_iter=6)
+    assert len(jobs) == 6 and fitted.details["log_likelihood"] == fitted.model.history[-1]
+
+
+def test_mixture_is_that_of_sparks_estimator(spark):
+    rng = np.random.default_rng(8)
+    rows = rng.normal(size=(600, 3)) * [1, 2, 0.5] + np.repeat([[0, 0, 0], [9, 0, 0], [0, 20, 4]], [100, 200, 300], axis=0)
+    df = spark.createDataFrame([(r.tolist(),) for r in rows], "point array<double>").select(array_to_vector("point").alias("features")).cache()
+    fitted = cluster.fit_gmm_builtin(df, 3)
+    theirs = max((GaussianMixture(k=3, maxIter=100, tol=1e-3, seed=i).fit(df) for i in range(4)), key=lambda m: m.summary.logLikelihood)
+    assert fitted.details["log_likelihood"] == pytest.approx(theirs.summary.logLikelihood, abs=0.05)
+    found = sorted(((r["mean"].toArray(), r["cov"].toArray()) for r in theirs.gaussiansDF.collect()), key=lambda g: g[0][0] + 3 * g[0][1])
+    for j, (mean, covariance) in zip(np.argsort(fitted.model.means @ [1, 3, 0]), found):
+        assert np.allclose(fitted.model.means[j], mean, atol=0.01) and np.allclose(fitted.model.covariances[j], covariance, atol=0.01)
+    assert np.allclose(fitted.model.weights @ fitted.model.means, rows.mean(axis=0))
+
+
+def test_mixture_with_a_column_that_does_not_vary(spark):
+    rng = np.random.default_rng(2)
+    rows = np.column_stack([rng.normal(size=200) + np.repeat([0, 30], 100), rng.normal(size=200), np.full(200, 4.0)])
+    df = spark.createDataFrame([(r.tolist(),) for r in rows], "point array<double>").select(array_to_vector("point").alias("features"))
+    fitted = cluster.fit_gmm_builtin(df, 2)
+    assert [r["count"] for r in fitted.transform(df).groupBy("prediction").count().collect()] == [100, 100]
+    again = mixture.Mixture.from_json(fitted.model.to_json())
+    assert (again.log_densities(rows) == fitted.model.log_densities(rows)).all()
+
+
+def test_mixture_of_one_point_is_an_error(spark):
+    df = spark.createDataFrame([([1.0, 2.0],)] * 4, "point array<double>").select(array_to_vector("point").alias("features"))
+    with pytest.raises(ValueError, match="variance"):
+        cluster.fit_gmm_builtin(df, 2)
