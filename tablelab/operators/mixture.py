@@ -14,16 +14,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablelab.operators.centres import WEIGHT, as_blocks, blocks, draw_points, merge_points, task_sums
+from tablelab.operators.centres import WEIGHT, as_blocks, blocks, merge_points, task_sums
 
 COVARIANCES = ("full", "tied", "diag", "spherical")
-#: Drawn points a random start averages per component, and what is added to each density: both as in Spark's estimator.
-SAMPLES, EPSILON = 5, float(np.finfo(float).eps)
+#: Added to each density of a random start, as in Spark's estimator.
+EPSILON = float(np.finfo(float).eps)
 #: Doubles of a work array, small enough for a processor's cache.
 WORK = 1 << 15
 
@@ -196,18 +196,19 @@ def _root(covariance: np.ndarray) -> tuple[np.ndarray, float]:
 def fit_random_starts(merged: DataFrame, vector: str, k: int, seeds: Sequence[int], *, max_iter: int = 100, tol: float = 1e-3) -> Mixture:
     """Full mixture without regularisation, best of several random starts by likelihood, the first one on ties.
 
-    The rules are those of Spark's estimator: a component starts from a few
-    drawn points, and a start ends when its log-likelihood changes by no more
-    than ``tol``. Unlike there, one job per iteration serves all starts. A start
+    Spark's estimator without iterations draws the starts; iterations follow
+    its rules: a start ends when its log-likelihood changes by no more than
+    ``tol``. Unlike there, one job per iteration serves all starts. A start
     whose component falls together into one point is left out.
     """
-    points, dims = as_blocks(merged, vector)
-    drawn = draw_points(points, dims, SAMPLES * k, seeds)
-    origin = np.vstack(drawn).mean(axis=0)
+    points, _ = as_blocks(merged, vector)
     mixtures, history = {}, {i: [float("-inf")] for i in range(len(seeds))}
-    for i, x in enumerate(drawn):
-        slices = np.resize(x, (k, SAMPLES, dims))
-        mixtures[i] = Mixture("full", np.full(k, 1 / k), slices.mean(axis=1), np.stack([np.diag(v) for v in slices.var(axis=1)]), singular=True)
+    for i, seed in enumerate(seeds):
+        drawn = GaussianMixture(k=k, maxIter=0, seed=seed, featuresCol=vector, weightCol=WEIGHT).fit(merged)
+        parts = drawn.gaussiansDF.collect()
+        means, covariances = (np.stack([f(r) for r in parts]) for f in (lambda r: r["mean"].toArray(), lambda r: r["cov"].toArray()))
+        mixtures[i] = Mixture("full", np.array(drawn.weights), means, covariances, singular=True)
+    origin = np.vstack([m.means for m in mixtures.values()]).mean(axis=0)
     moving = list(mixtures)
     for _ in range(max_iter):
         moving = [i for i in moving if all(c.any() for c in mixtures[i].covariances)]
