@@ -26,8 +26,10 @@ CELL_ROWS = 4096
 LARGEST_STRIPE, STRIPE_DOUBLES, STRIPES = 32_768, 1 << 21, 24
 #: Rows and columns of pairs held at once, small enough for a processor's cache.
 TILE = (64, 1024)
-#: From so many features on, distances come from a matrix product.
-PRODUCT_DIMS = 8
+#: From so many features on, distances come from a matrix product, in tiles of their own.
+PRODUCT_DIMS, PRODUCT_TILE = 8, (128, 256)
+#: Tasks that share the cells: many more than cores, so that one with several cells doesn't end last.
+CELL_TASKS = 400
 MODES = ("squared", "euclidean")
 CHUNK = 256
 
@@ -172,17 +174,21 @@ def _pair_sums(pts: DataFrame, m: Moments, drop_features: bool, cell_rows: int)
         if alone and int(rows["other"].iloc[0]) != int(low):
             none = rows.iloc[:0][["id", "c", "w"]]
             return none.assign(variant=pd.Series([], dtype="int32"), sums=pd.Series([], dtype=object))
-        a = np.stack(left["point"].to_list())
-        b = a if alone else np.stack(right["point"].to_list())
+        a = np.stack(left["point"].to_list()) - origin
+        b = a if alone else np.stack(right["point"].to_list()) - origin
         to_a = _memberships(left, k)
         to_b = to_a if alone else _memberships(right, k)
         sums_a = np.zeros((len(variants), len(a), k))
-        sums_b = np.zeros((len(variants), len(b), k))
-        for i in range(0, len(a), TILE[0]):
-            for j in range(0, len(b), TILE[1]):
-                high, wide = slice(i, i + TILE[0]), slice(j, j + TILE[1])
-                squared, parts = _squared_gaps(a[high] - origin, b[wide] - origin, drop_features)
-                gap = np.empty_like(squared)
+        sums_b = np.zeros((len(variants), k, len(b)))
+        product = not drop_features and dims >= PRODUCT_DIMS
+        tile = PRODUCT_TILE if product else TILE
+        factors = _gap_factors(a, b) if product else None
+        from_a = np.ascontiguousarray(to_a.T)
+        for j in range(0, len(b), tile[1]):
+            for i in range(0, len(a), tile[0]):
+                high, wide = slice(i, i + tile[0]), slice(j, j + tile[1])
+                squared, parts = (_product_gaps(a, b, factors, high, wide), []) if product else _squared_gaps(a[high], b[wide], drop_features)
+                gap = squared if product else np.empty_like(squared)
                 for v, f in enumerate(variants):
                     if f < 0:
                         np.sqrt(squared, out=gap)
@@ -192,9 +198,9 @@ def _pair_sums(pts: DataFrame, m: Moments, drop_features: bool, cell_rows: int)
                         np.sqrt(gap, out=gap)
                     sums_a[v, high] += gap @ to_b[wide]
                     if not alone:
-                        sums_b[v, wide] += gap.T @ to_a[high]
+                        sums_b[v, :, wide] += from_a[:, high] @ gap
         out = []
-        for side, sums in ((left, sums_a),) if alone else ((left, sums_a), (right, sums_b)):
+        for side, sums in ((left, sums_a),) if alone else ((left, sums_a), (right, sums_b.transpose(0, 2, 1))):
             for v, f in enumerate(variants):
                 out.append(
                     pd.DataFrame(
@@ -207,6 +213,7 @@ def _pair_sums(pts: DataFrame, m: Moments, drop_features: bool, cell_rows: int)
     kind = pts.schema["id"].dataType.simpleString()
     parts = (
         spread.select("id", "c", "w", "point", "stripe", "other", cell.alias("cell"))
+        .repartition(min(CELL_TASKS, stripes * (stripes + 1) // 2), "cell")
         .groupBy("cell")
         .applyInPandas(cell_sums, f"id {kind}, c int, w bigint, variant int, sums array<double>")
     )
@@ -216,24 +223,34 @@ def _pair_sums(pts: DataFrame, m: Moments, drop_features: bool, cell_rows: int)
 
 def _squared_gaps(a: np.ndarray, b: np.ndarray, by_feature: bool) -> tuple[np.ndarray, list[np.ndarray]]:
     """Squared distances of all pairs and, if asked, each feature's part of them."""
-    if by_feature or a.shape[1] < PRODUCT_DIMS:
-        total, parts = np.zeros((len(a), len(b))), []
-        for x, y in zip(a.T, b.T):
-            part = np.subtract(x[:, None], y)
-            np.multiply(part, part, out=part)
-            total += part
-            if by_feature:
-                parts.append(part)
-        return total, parts
-    own, other = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
-    sizes = own[:, None] + other
-    total = sizes - 2 * (a @ b.T)
-    # Where nearly all cancels out, too few digits are left.
-    i, j = np.nonzero(total < 1e-6 * sizes)
-    for start in range(0, len(i), CHUNK * 4):
-        part = slice(start, start + CHUNK * 4)
-        total[i[part], j[part]] = ((a[i[part]] - b[j[part]]) ** 2).sum(axis=1)
-    return total, []
+    total, parts = np.zeros((len(a), len(b))), []
+    for x, y in zip(a.T, b.T):
+        part = np.subtract(x[:, None], y)
+        np.multiply(part, part, out=part)
+        total += part
+        if by_feature:
+            parts.append(part)
+    return total, parts
+
+
+def _gap_factors(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two matrices whose product has the squared distances of all pairs: ``-2a, |a|^2, 1`` times ``b, 1, |b|^2``."""
+    own, other = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    return np.column_stack([-2 * a, own, np.ones(len(a))]), np.ascontiguousarray(np.column_stack([b, np.ones(len(b)), other]).T)
+
+
+def _product_gaps(a: np.ndarray, b: np.ndarray, factors: tuple[np.ndarray, np.ndarray], high: slice, wide: slice) -> np.ndarray:
+    """Squared distances of the pairs of a tile."""
+    x, y = factors[0][high], factors[1][:, wide]
+    total = x @ y
+    own, other = x[:, -2], y[-1]
+    # Where nearly all cancels out, too few digits are left. Most tiles have no such pair.
+    if not total.min() >= 1e-6 * (own.max() + other.max()):
+        i, j = np.nonzero(total < 1e-6 * (own[:, None] + other))
+        for start in range(0, len(i), CHUNK * 4):
+            part = slice(start, start + CHUNK * 4)
+            total[i[part], j[part]] = ((a[high][i[part]] - b[wide][j[part]]) ** 2).sum(axis=1)
+    return total
 
 
 def _memberships(rows: pd.DataFrame, k: int) -> np.ndarray:

@@ -1,5 +1,7 @@
 """Work and task sizes that must not grow with copies of rows, and results that must not change by it."""
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -113,6 +115,28 @@ def test_pair_distances_by_product_keep_their_digits():
     assert np.allclose(quality._squared_gaps(a, b, False)[0], exact, rtol=1e-7, atol=0)
 
 
+def test_tiles_by_product_keep_their_digits():
+    rng = np.random.default_rng(3)
+    a = rng.normal(size=(70, 20))
+    b = np.vstack([a[:30] + 1e-7, a[30:60], rng.normal(size=(10, 20)), np.zeros((1, 20))])
+    exact = ((a[:, None] - b[None]) ** 2).sum(axis=2)
+    factors = quality._gap_factors(a, b)
+    for high, wide in ((slice(0, 64), slice(0, 32)), (slice(64, 128), slice(32, 71))):
+        assert np.allclose(quality._product_gaps(a, b, factors, high, wide), exact[high, wide], rtol=1e-7, atol=0)
+
+
+def test_cells_of_pairs_are_dealt_to_many_tasks(spark):
+    """Their number was that of the shuffle partitions."""
+    x = np.random.default_rng(1).normal(size=(400, 9)).round(3)
+    df = spark.createDataFrame(pd.DataFrame({"id": np.arange(400), "c": np.arange(400) % 3, "p": x.tolist()}), "id long, c int, p array<double>")
+    pts = quality.points_from_array(df, "p", "c", ["id"])
+    m = quality.cluster_moments(pts)
+    plan = quality._pair_sums(pts, m, False, 4)._jdf.queryExecution().executedPlan().toString()
+    cells = int(re.search(r"hashpartitioning\(cell#\d+L, (\d+)\)", plan).group(1))
+    assert cells > 100 and cells != int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert quality.silhouette(pts, m, cell_rows=4) == pytest.approx(quality.silhouette(pts, m, cell_rows=4096))
+
+
 def test_larger_tables_get_larger_stripes(spark):
     x = np.random.default_rng(1).normal(size=(400, 2)).round(3)
     df = spark.createDataFrame(pd.DataFrame({"id": np.arange(400), "c": np.arange(400) % 3, "p": x.tolist()}), "id long, c int, p array<double>")
