@@ -23,6 +23,8 @@ from tablelab.session import materialise
 WEIGHT = "__weight"
 #: Points that are compared with all centres together, and doubles in a packed row.
 ROWS, BLOCK_DOUBLES = 4096, 1024
+#: Of these, points whose distances to all centres are held at once, small enough for a processor's cache.
+TILE = 1024
 #: Rounds of k-means||, and points each adds per cluster.
 STEPS, OVERSAMPLING = 2, 2
 #: Rounds on the few candidates of a start, as in Spark's estimator.
@@ -78,7 +80,7 @@ def task_sums(blocks_: DataFrame, partial, shape: tuple[int, ...]) -> np.ndarray
 
 @dataclass
 class Sums:
-    """Of one start: weight and mean offset sums by centre, and the squared distances to the nearest one."""
+    """Of one start: weight and mean offset sums by centre, and the squared distances to the nearest one (0 if left out)."""
 
     n: np.ndarray
     x: np.ndarray
@@ -86,24 +88,39 @@ class Sums:
 
 
 def centre_sums(points: DataFrame, sets: Sequence[np.ndarray]) -> list[Sums]:
-    """For each set of centres what its nearest points add up to: one job for all sets."""
+    """For each set of centres what its nearest points add up to, without their cost: one job for all sets."""
+    return _nearest_sums(points, sets, False)
+
+
+def costed_sums(points: DataFrame, sets: Sequence[np.ndarray]) -> list[Sums]:
+    return _nearest_sums(points, sets, True)
+
+
+def _nearest_sums(points: DataFrame, sets: Sequence[np.ndarray], cost: bool) -> list[Sums]:
     dims = sets[0].shape[1]
     bounds = np.cumsum([0, *[len(c) for c in sets]])
     every = np.vstack(sets)
     origin = every.mean(axis=0)
     moved = every - origin
-    squares = (moved**2).sum(axis=1)
+    minus, squares = -2 * moved, (moved**2).sum(axis=1)[:, None]
 
     def partial(batches):
         total = np.zeros((len(every), dims + 2))
-        for x, w in blocks(batches, dims):
-            x = x - origin
-            gaps = squares - 2 * (x @ moved.T)
-            for low, high in zip(bounds, bounds[1:]):
-                own = gaps[:, low:high].argmin(axis=1)
-                apart = ((x - moved[low + own]) ** 2).sum(axis=1)
-                for c, v in enumerate((w, w * apart, *(w * x.T))):
-                    total[low:high, c] += np.bincount(own, v, high - low)
+        for all_x, all_w in blocks(batches, dims):
+            for at in range(0, len(all_x), TILE):
+                x, w = np.ascontiguousarray((all_x[at : at + TILE] - origin).T), all_w[at : at + TILE]
+                gaps = minus @ x
+                gaps += squares
+                nearest = np.empty_like(gaps)
+                for low, high in zip(bounds, bounds[1:]):
+                    own = gaps[low:high] == gaps[low:high].min(axis=0)
+                    if np.count_nonzero(own) > len(w):  # equally near centres: the first one
+                        own &= own.cumsum(axis=0) == 1
+                    nearest[low:high] = own
+                    if cost:
+                        apart = ((x - moved[low + own.argmax(axis=0)].T) ** 2).sum(axis=0)
+                        total[low:high, 1] += own @ (w * apart)
+                total[:, [0, *range(2, dims + 2)]] += nearest @ np.vstack([w, w * x]).T
         return total
 
     table = task_sums(points, partial, (len(every), dims + 2))
@@ -122,6 +139,13 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _hashes(x: np.ndarray) -> np.ndarray:
+    h = np.zeros(len(x), np.uint64)
+    for column in x.T:
+        h = _mix(h ^ np.ascontiguousarray(column).view(np.uint64))
+    return h
+
+
 def draw_points(points: DataFrame, dims: int, need: int, seeds: Sequence[int], sets: Sequence[np.ndarray] | None = None) -> list[np.ndarray]:
     """For each seed ``need`` distinct points, with a probability by weight, or by weight times squared distance to the seed's set.
 
@@ -132,9 +156,7 @@ def draw_points(points: DataFrame, dims: int, need: int, seeds: Sequence[int], s
     def partial(batches):
         best = [(np.zeros(0), np.zeros((0, dims))) for _ in seeds]
         for x, w in blocks(batches, dims):
-            h = np.zeros(len(x), np.uint64)
-            for column in x.T:
-                h = _mix(h ^ np.ascontiguousarray(column).view(np.uint64))
+            h = _hashes(x)
             for i, seed in enumerate(seeds):
                 u = ((_mix(h ^ _mix(np.array([seed], np.uint64))) >> np.uint64(11)).astype(float) + 0.5) * 2.0**-53
                 share = w if sets is None else w * ((x[:, None] - sets[i][None]) ** 2).sum(axis=2).min(axis=1)
@@ -206,6 +228,6 @@ def best_centres(merged: DataFrame, vector: str, k: int, seeds: Sequence[int], i
         moving = still
         if not moving:
             break
-    last = centre_sums(points, sets)
+    last = costed_sums(points, sets)
     best = min(range(len(sets)), key=lambda i: last[i].cost)
     return sets[best], last[best]

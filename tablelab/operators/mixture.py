@@ -135,34 +135,47 @@ def fit_mixture(
 def _sums(df, k, origin, *, mixture: Mixture | None = None, centers: np.ndarray | None = None):
     """``(n, sum x, sum xx', mean log-likelihood)``, with x taken from ``origin``."""
     d = len(origin)
+    pairs = np.triu_indices(d)
+    width = 1 + d + len(pairs[0])
+    rows = max(64, WORK // max(width, k))
 
     def partial(batches):
-        n, s, ss, ll, rows = np.zeros(k), np.zeros((k, d)), np.zeros((k, d, d)), 0.0, 0.0
-        for x, w in blocks(batches, d):
-            if mixture is None:
-                nearest = ((x[:, None, :] - centers[None]) ** 2).sum(axis=2).argmin(axis=1)
-                r = np.eye(k)[nearest]
-            else:
-                log_p = mixture.log_densities(x)
-                top = log_p.max(axis=1, keepdims=True)
-                norm = top + np.log(np.exp(log_p - top).sum(axis=1, keepdims=True))
-                r = np.exp(log_p - norm)
-                ll += float(w @ norm[:, 0])
-            rows += w.sum()
-            y = x - origin
-            r *= w[:, None]
-            n += r.sum(axis=0)
-            s += r.T @ y
-            for j in range(k):
-                ss[j] += (r[:, j, None] * y).T @ y
-        totals = np.zeros((k, 3))
-        totals[:, 0] = n
-        totals[0, 1:] = ll, rows
-        return np.hstack([totals, s, ss.reshape(k, -1)])
-
-    flat = task_sums(df, partial, (k, 3 + d + d * d))
-    n, ll, rows = flat[:, 0], flat[0, 1], flat[0, 2]
-    return n, flat[:, 3 : 3 + d], flat[:, 3 + d :].reshape(k, d, d), float(ll / rows), int(rows)
+        total = np.zeros((k, 2 + width))
+        if mixture is not None:
+            lowers = [np.linalg.cholesky(c) for c in mixture.covariances]
+            roots = [np.linalg.inv(lower) for lower in lowers]
+            middles = [(m - origin)[:, None] for m in mixture.means]
+            heights = np.array([-np.log(np.diag(lower)).sum() for lower in lowers]) - 0.5 * d * math.log(2 * math.pi) + np.log(mixture.weights)
+        for all_x, all_w in blocks(batches, d):
+            for at in range(0, len(all_x), rows):
+                x, w = all_x[at : at + rows], all_w[at : at + rows]
+                y = np.ascontiguousarray((x - origin).T)
+                p = np.empty((k, len(w)))
+                if mixture is None:
+                    p[:] = ((x[:, None, :] - centers[None]) ** 2).sum(axis=2).argmin(axis=1) == np.arange(k)[:, None]
+                else:
+                    for j in range(k):
+                        z = roots[j] @ (y - middles[j])
+                        z *= z
+                        z.sum(axis=0, out=p[j])
+                    p *= -0.5
+                    p += heights[:, None]
+                    top = p.max(axis=0)
+                    p -= top
+                    np.exp(p, out=p)
+                    norm = p.sum(axis=0)
+                    p /= norm
+                    total[0, 0] += w @ (top + np.log(norm))
+                p *= w
+                total[0, 1] += w.sum()
+                total[:, 2:] += p @ np.vstack([np.ones((1, len(w))), y, y[pairs[0]] * y[pairs[1]]]).T
+        return total
+
+    flat = task_sums(df, partial, (k, 2 + width))
+    ll, count = flat[0, :2]
+    squares = np.zeros((k, d, d))
+    squares[:, pairs[0], pairs[1]] = squares[:, pairs[1], pairs[0]] = flat[:, 3 + d :]
+    return flat[:, 2], flat[:, 3 : 3 + d], squares, float(ll / count), int(count)
 
 
 def _maximise(sums, covariance_type: str, reg_covar: float, origin: np.ndarray) -> Mixture:

@@ -47,6 +47,34 @@ def test_equal_points_are_merged_with_their_number(copies):
     assert centres.merge_points(merged, "features") is merged
 
 
+def test_sums_of_nearest_centres(copies):
+    """Of several sets at once, with centres that come twice: the first one takes the points."""
+    df, rows = copies
+    blocks, _ = centres.as_blocks(centres.merge_points(df, "features"), "features")
+    sets = [rows[[0, 900, 900]], rows[[5, 1100]]]
+    for sums in (centres.costed_sums, centres.centre_sums):
+        for centre, found in zip(sets, sums(blocks, sets)):
+            gaps = ((rows[:, None] - centre[None]) ** 2).sum(axis=2)
+            own = gaps.argmin(axis=1)
+            assert np.allclose(found.n, np.bincount(own, minlength=len(centre)))
+            assert np.allclose(found.x, [rows[own == j].sum(axis=0) for j in range(len(centre))])
+            assert found.cost == pytest.approx(gaps.min(axis=1).sum() if sums is centres.costed_sums else 0.0)
+
+
+def test_mixture_sums_are_those_of_the_densities(copies):
+    df, rows = copies
+    fitted = cluster.fit_gmm(df, 3, max_iter=3).model
+    blocks, _ = centres.as_blocks(centres.merge_points(df, "features"), "features")
+    origin = fitted.means.mean(axis=0)
+    n, s, ss, likelihood, count = mixture._sums(blocks, 3, origin, mixture=fitted)
+    logs = fitted.log_densities(rows)
+    norm = np.log(np.exp(logs).sum(axis=1))
+    share, y = np.exp(logs - norm[:, None]), rows - origin
+    assert count == len(rows) and likelihood == pytest.approx(norm.mean())
+    assert np.allclose(n, share.sum(axis=0)) and np.allclose(s, share.T @ y)
+    assert np.allclose(ss, np.einsum("nk,nd,ne->kde", share, y, y))
+
+
 @pytest.mark.parametrize("init", ["k-means++", "random"])
 def test_kmeans_cost_sizes_and_fixed_point(copies, init):
     df, rows = copies
