@@ -25,6 +25,8 @@ WEIGHT = "__weight"
 ROWS, BLOCK_DOUBLES = 4096, 1024
 #: Of these, points whose distances to all centres are held at once, small enough for a processor's cache.
 TILE = 1024
+#: Points of a task that are merged before they are dealt out, and partitions they are dealt to at first; adaptive execution joins small ones.
+HELD, DEALT = 1 << 18, 2048
 #: Rounds of k-means||, and points each adds per cluster.
 STEPS, OVERSAMPLING = 2, 2
 #: Rounds on the few candidates of a start, as in Spark's estimator.
@@ -32,13 +34,49 @@ LOCAL_ROUNDS = 30
 
 
 def merge_points(df: DataFrame, vector: str) -> DataFrame:
-    """One row per distinct vector and :data:`WEIGHT`, the number of its rows; written once. A merged frame stays as it is."""
+    """One row per distinct vector and :data:`WEIGHT`, the number of its rows; written once. A merged frame stays as it is.
+
+    Tasks merge what they hold before it is dealt out, so that many copies of
+    a point don't meet in one task; distinct points go to many small
+    partitions, whatever the number of shuffle partitions.
+    """
     if WEIGHT in df.columns:
         return df
-    counted = df.select(vector_to_array(ref(vector)).alias("point")).groupBy("point").agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
+
+    def held(batches):
+        x, w = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            more = batch.column("point").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) + 0.0
+            x = more if x is None else np.vstack([x, more])
+            w = np.ones(len(more)) if w is None else np.append(w, np.ones(len(more)))
+            if len(x) >= HELD:
+                x, w = _merged(x, w)
+                if len(x) >= HELD // 2:
+                    yield _weighted(x, w)
+                    x, w = None, None
+        if x is not None:
+            yield _weighted(*_merged(x, w))
+
+    points = df.select(vector_to_array(ref(vector)).alias("point")).mapInArrow(held, "point array<double>, weight double")
+    counted = points.hint("rebalance", DEALT, F.col("point")).groupBy("point").agg(F.sum("weight").alias(WEIGHT))
     return materialise(counted.select(array_to_vector("point").alias(vector), WEIGHT), [vector])
 
 
+def _merged(x: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Equal points as one, with the sum of their weights; points whose hashes agree by chance stay apart."""
+    _, first, own = np.unique(_hashes(x), return_index=True, return_inverse=True)
+    apart = (x[first[own]].view(np.uint64) != np.ascontiguousarray(x).view(np.uint64)).any(axis=1)
+    sums = np.bincount(own, np.where(apart, 0.0, w), len(first))
+    return np.vstack([x[first], x[apart]]), np.append(sums, w[apart])
+
+
+def _weighted(x: np.ndarray, w: np.ndarray) -> pa.RecordBatch:
+    cells = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
+    return pa.RecordBatch.from_arrays([cells, pa.array(w)], names=["point", "weight"])
+
+
 def as_blocks(merged: DataFrame, vector: str) -> tuple[DataFrame, int]:
     """Merged points as rows of packed doubles, weight first, which loops read without conversion; and their dimensions."""
     some = merged.select(vector_to_array(ref(vector)).alias("point")).first()

@@ -47,6 +47,36 @@ def test_equal_points_are_merged_with_their_number(copies):
     assert centres.merge_points(merged, "features") is merged
 
 
+def test_distinct_points_are_dealt_by_size(spark):
+    """They all went to as many tasks as there are shuffle partitions."""
+    rows = spark.range(0, 120_000, 1, 4).select(array_to_vector(F.array(F.col("id") % 60_000 * 0.5, F.when(F.col("id") < 60_000, -0.0).otherwise(0.0))).alias("features"))
+    before = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    seen = []
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(centres, "materialise", lambda df, by=(): seen.append(df) or materialise(df, by))
+            merged = centres.merge_points(rows, "features")
+        plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for c, value in before.items():
+            spark.conf.set(c, value)
+    assert "hashpartitioning(point#" in plan and f", {centres.DEALT})" in plan
+    assert [tuple(r) for r in merged.groupBy(centres.WEIGHT).count().collect()] == [(2.0, 60_000)]
+
+
+def test_points_held_by_a_task_are_merged_exactly(monkeypatch):
+    x = np.array([[1.0, 2.0], [3.0, 4.0], [1.0, 2.0], [5.0, 6.0], [3.0, 4.0]])
+    for hashes in (centres._hashes, lambda x: np.zeros(len(x), np.uint64)):
+        monkeypatch.setattr(centres, "_hashes", hashes)
+        points, weights = centres._merged(x, np.array([1.0, 2, 3, 4, 5]))
+        total = {}
+        for p, w in zip(points, weights):
+            total[tuple(p)] = total.get(tuple(p), 0) + w
+        assert total == {(1, 2): 4, (3, 4): 7, (5, 6): 4}
+
+
 def test_sums_of_nearest_centres(copies):
     """Of several sets at once, with centres that come twice: the first one takes the points."""
     df, rows = copies
