@@ -31,14 +31,17 @@ def _origin(cells: DataFrame) -> np.ndarray:
     return out
 
 
-def pair_sums(df: DataFrame, values: list[Column]) -> DataFrame:
+def pair_sums(df: DataFrame, values: list[Column], weight: Column | None = None) -> DataFrame:
     """i, j (i <= j), n, x, y, xx, yy, xy over the rows where both columns have a value.
 
     Sums are of differences from a column's origin. NaN counts as missing;
     infinite values are kept and make the sums of their pairs NaN or infinite.
+    With ``weight`` a row stands for so many equal ones.
     """
     cells = df.select(*[v.cast("double").alias(f"v{i}") for i, v in enumerate(values)])
-    origin, width = _origin(cells), len(values)
+    origin, width, weighted = _origin(cells), len(values), weight is not None
+    if weighted:
+        cells = df.select(*[v.cast("double").alias(f"v{i}") for i, v in enumerate(values)], weight.cast("double").alias("weight"))
     low, high = np.triu_indices(width)
 
     def multiply(batches):
@@ -46,12 +49,13 @@ def pair_sums(df: DataFrame, values: list[Column]) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
-                x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in part.columns]).astype(float, copy=False)
+                x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in part.columns[:width]]).astype(float, copy=False)
                 there = ~np.isnan(x)
                 mask = there.astype(float)
+                times = mask * part.column("weight").to_numpy(zero_copy_only=False)[:, None] if weighted else mask
                 with np.errstate(invalid="ignore", over="ignore"):
                     x = np.where(there, x - origin, 0.0)
-                    for t, (a, b) in zip(total, ((mask, mask), (x, mask), (x * x, mask), (x, x))):
+                    for t, (a, b) in zip(total, ((times, mask), (x, times), (x * x, times), (x * times if weighted else x, x))):
                         t += a.T @ b
         n, one, two, both = total
         columns = [n[low, high].round().astype(np.int64), one[low, high], one[high, low], two[low, high], two[high, low], both[low, high]]

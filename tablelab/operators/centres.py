@@ -45,9 +45,26 @@ def merge_points(df: DataFrame, vector: str) -> DataFrame:
     if WEIGHT in df.columns:
         return df
     points = df.select(vector_to_array(ref(vector)).alias("point"))
-    if df.count() <= FEW_ROWS:
-        counted = points.groupBy("point").agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
-        return materialise(counted.select(array_to_vector("point").alias(vector), WEIGHT), [vector])
+    few = df.count() <= FEW_ROWS
+    counted = points.groupBy("point").agg(F.count(F.lit(1)).cast("double").alias(WEIGHT)) if few else _dealt(points)
+    return materialise(counted.select(array_to_vector("point").alias(vector), WEIGHT), [vector])
+
+
+def merge_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per distinct set of values of these double columns and :data:`WEIGHT`, the number of its rows; for many rows, scanned and written once."""
+    counted = materialise(_dealt(df.select(F.array(*[ref(c) for c in columns]).alias("point"))), ["point"])
+    return counted.select(*[F.get("point", F.lit(i)).alias(c) for i, c in enumerate(columns)], WEIGHT)
+
+
+def merge_again(weighted: DataFrame, vector: str) -> DataFrame:
+    """A merged frame as :func:`merge_points` makes it, of one that may hold a vector several times."""
+    counted = _dealt(weighted.select(vector_to_array(ref(vector)).alias("point"), F.col(WEIGHT).alias("weight")))
+    return materialise(counted.select(array_to_vector("point").alias(vector), WEIGHT), [vector])
+
+
+def _dealt(points: DataFrame) -> DataFrame:
+    """Each distinct ``point`` and the number of its rows, or the sum of ``weight`` where there is one; not written yet."""
+    weighted = "weight" in points.columns
 
     def held(batches):
         x, w = None, None
@@ -55,8 +72,9 @@ def merge_points(df: DataFrame, vector: str) -> DataFrame:
             if not batch.num_rows:
                 continue
             more = batch.column("point").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) + 0.0
+            more_w = batch.column("weight").to_numpy(zero_copy_only=False) if weighted else np.ones(len(more))
             x = more if x is None else np.vstack([x, more])
-            w = np.ones(len(more)) if w is None else np.append(w, np.ones(len(more)))
+            w = more_w if w is None else np.append(w, more_w)
             if len(x) >= HELD:
                 x, w = _merged(x, w)
                 if len(x) >= HELD // 2:
@@ -65,8 +83,7 @@ def merge_points(df: DataFrame, vector: str) -> DataFrame:
         if x is not None:
             yield _weighted(*_merged(x, w))
 
-    counted = points.mapInArrow(held, "point array<double>, weight double").hint("rebalance", DEALT, F.col("point")).groupBy("point").agg(F.sum("weight").alias(WEIGHT))
-    return materialise(counted.select(array_to_vector("point").alias(vector), WEIGHT), [vector])
+    return points.mapInArrow(held, "point array<double>, weight double").hint("rebalance", DEALT, F.col("point")).groupBy("point").agg(F.sum("weight").alias(WEIGHT))
 
 
 def _merged(x: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

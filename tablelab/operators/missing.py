@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from tablelab.functions.quantiles import quantiles
 
 NO_MODE = "MISSING"
 PATTERN_LIMIT = 100_000
+WORD_BITS = 32
 ORDERED = {"ffill": ("forward",), "bfill": ("backward",), "ffill_bfill": ("forward", "backward")}
 STRATEGIES = ("auto", "mean", "median", "mode", "ffill", "bfill", "zero", "constant")
 
@@ -139,14 +142,19 @@ def _fit_auto(df: DataFrame, names: Sequence[str], threshold: float, exact: bool
 
 def _pattern_counter(df: DataFrame, names: Sequence[str]):
     """``count(column, dropped) -> (rows alive, missing among them)``."""
-    bits = F.concat(F.lit(""), *[F.when(clean(df, c).isNull(), "1").otherwise("0") for c in names])
-    patterns = df.groupBy(bits.alias("bits")).agg(F.count(F.lit(1)).alias("n")).limit(PATTERN_LIMIT + 1).collect()
+    # One bit per column, in as few numbers as hold them.
+    gaps = [F.when(clean(df, c).isNull(), F.lit(1 << i % WORD_BITS)).otherwise(F.lit(0)).cast("long") for i, c in enumerate(names)]
+    words = [reduce(add, gaps[i : i + WORD_BITS]).alias(f"w{i // WORD_BITS}") for i in range(0, len(gaps), WORD_BITS)]
+    patterns = df.groupBy(*words).agg(F.count(F.lit(1)).alias("n")).limit(PATTERN_LIMIT + 1).collect()
     position = {c: i for i, c in enumerate(names)}
     if len(patterns) <= PATTERN_LIMIT:
 
+        def is_gap(pattern, column):
+            return pattern[position[column] // WORD_BITS] >> position[column] % WORD_BITS & 1
+
         def from_patterns(column, dropped):
-            alive = [p for p in patterns if all(p["bits"][position[d]] == "0" for d in dropped)]
-            return sum(p["n"] for p in alive), sum(p["n"] for p in alive if p["bits"][position[column]] == "1")
+            alive = [p for p in patterns if not any(is_gap(p, d) for d in dropped)]
+            return sum(p["n"] for p in alive), sum(p["n"] for p in alive if is_gap(p, column))
 
         return from_patterns
 

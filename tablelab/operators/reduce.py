@@ -12,8 +12,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablelab.functions.columns import number, ref
+from tablelab.functions.comoments import pair_sums
 
 
 @dataclass
@@ -40,14 +42,20 @@ def as_doubles(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def check_complete(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
     """The mean of each column. A missing cell has no place in a model; name the columns that hold any."""
+    return complete_means(df, features)[1]
+
+
+def complete_means(df: DataFrame, features: Sequence[str]) -> tuple[int, dict[str, float]]:
+    """The number of rows, and :func:`check_complete`."""
     row = df.agg(
+        F.count(F.lit(1)).alias("rows"),
         *[F.count(F.when(number(df, c).isNull(), 1)).alias(f"m{i}") for i, c in enumerate(features)],
         *[F.avg(number(df, c)).alias(f"a{i}") for i, c in enumerate(features)],
     ).first()
     bad = [f"{c} ({row[f'm{i}']})" for i, c in enumerate(features) if row[f"m{i}"]]
     if bad:
         raise ValueError(f"missing values in model columns: {', '.join(bad)}; fill or drop them first")
-    return {c: float(row[f"a{i}"] or 0.0) for i, c in enumerate(features)}
+    return row["rows"], {c: float(row[f"a{i}"] or 0.0) for i, c in enumerate(features)}
 
 
 def fit_pca(
@@ -57,16 +65,23 @@ def fit_pca(
     variance: float = 0.95,
     *,
     output: str = "components",
+    means: dict[str, float] | None = None,
+    weight: str | None = None,
 ) -> Components:
     """Centre, rotate, orient and keep components.
 
     ``k`` fixes their number; otherwise it is the smallest whose cumulative
     variance ratio exceeds ``variance``. The largest loading of each component
-    is made positive, so that signs do not depend on the solver.
+    is made positive, so that signs do not depend on the solver. ``means`` are
+    those of :func:`check_complete`, if it is done. With the column ``weight``
+    a row of ``df`` stands for so many equal ones: their covariances come from
+    one scan, and the stages are fitted to a few rows that have the same.
     """
     features = list(features)
-    means = check_complete(df, features)
+    means = check_complete(df, features) if means is None else means
     d = len(features)
+    if weight is not None:
+        df = _alike(df, features, means, weight)
     assembler = VectorAssembler(inputCols=features, outputCol="__assembled")
     rows = assembler.transform(as_doubles(df, features).select(*[ref(c) for c in features])).select("__assembled")
     center = StandardScaler(withMean=True, withStd=False, inputCol="__assembled", outputCol="__centred").fit(rows)
@@ -83,6 +98,24 @@ def fit_pca(
     return Components(features, model, loadings * signs, ratios, k, output, means)
 
 
+def _alike(df: DataFrame, features: list[str], means: dict[str, float], weight: str) -> DataFrame:
+    """Two rows per feature, with the means and covariances of the weighted rows of ``df``; ``df`` itself below two rows."""
+    d = len(features)
+    sums = pair_sums(df, [ref(c) for c in features], ref(weight)).select("i", "j", "n", "x", "y", "xy").collect()
+    n = sums[0]["n"]
+    if n < 2:
+        return df.select(*[ref(c) for c in features])
+    covariance = np.zeros((d, d))
+    for r in sums:
+        covariance[r["i"], r["j"]] = covariance[r["j"], r["i"]] = (r["xy"] - r["x"] * r["y"] / n) / (n - 1)
+    values, vectors = np.linalg.eigh(covariance)
+    reach = (vectors * np.sqrt(np.maximum(values, 0) * (2 * d - 1) / 2)).T
+    middle = np.array([means[c] for c in features])
+    rows = np.vstack([middle + reach, middle - reach]).tolist()
+    schema = T.StructType([T.StructField(c, T.DoubleType()) for c in features])
+    return df.sparkSession.createDataFrame([tuple(r) for r in rows], schema).coalesce(1)
+
+
 def assemble(features: Sequence[str], output: str) -> PipelineModel:
     return PipelineModel(stages=[VectorAssembler(inputCols=list(features), outputCol=output)])
 

@@ -166,6 +166,7 @@ def tune_learning(
     ready: bool = False,
     first_number: int = 0,
     parallelism: int = PARALLELISM,
+    merged: DataFrame | None = None,
     **options,
 ) -> Search:
     """Trials from a typed space, each batch of ``parallelism`` proposals chosen by what the earlier ones gave.
@@ -174,7 +175,7 @@ def tune_learning(
     """
     sampler = Sampler(space or SPACES[algorithm], seed, startup)
     frame = df if ready else materialise(df, key)
-    merged = merge_points(frame, options.get("vector", "features"))
+    merged = merge_points(frame, options.get("vector", "features")) if merged is None else merged
     sign = 1 if HIGHER_IS_BETTER[metric] else -1
     trials = []
     while len(trials) < n_trials:

@@ -17,6 +17,7 @@ from tablelab.operators.select import model_inputs
 from tablelab.plans.prepare import Preparation, step_audit
 from tablelab.plans.segment import Segmentation
 from tablelab.plans.store import save_model
+from tablelab.session import materialise
 from tablelab.sources.files import write_csv, write_predictions
 
 
@@ -61,15 +62,16 @@ def export_segmentation(
         tables["pca_loadings"] = loading_table(inputs, found.components)
         tables["pca_variance"] = variance_table(inputs, found.components)
         tables["pca_top_features"] = top_loadings(inputs, found.components)
+    labels = materialise(found.labels(), key)
     if importance:
-        rows = model_inputs(inputs, key).join(found.labels(), key)
+        rows = model_inputs(inputs, key).join(labels, key)
         tables["feature_importance"] = combined_importance(rows, LABEL, features, key)
     written = {}
     for name, table in tables.items():
         written[name] = f"{path}/{name}"
         write_csv(table, written[name], mode)
     written["predictions"] = f"{path}/predictions"
-    write_predictions(inputs.join(found.labels(), key), written["predictions"], label=LABEL, mode=mode)
+    write_predictions(inputs.join(labels, key), written["predictions"], label=LABEL, mode=mode)
     save_model(found.model, found.best.metrics, f"{path}/model", spark, mode)
     written["model"] = f"{path}/model"
     return written

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelab.functions.columns import ref
+from tablelab.operators import centres
 from tablelab.operators.cluster import LABEL, Clustering
-from tablelab.operators.reduce import Components, as_doubles, assemble, check_complete, fit_pca
+from tablelab.operators.reduce import Components, as_doubles, assemble, complete_means, fit_pca
 from tablelab.operators.search import Search, Trial, compare_clusterings, tune_grid, tune_random
 from tablelab.operators.tuner import tune_learning
 from tablelab.operators.segments import cluster_mode, cluster_profiles, cluster_sizes, cluster_spend_summary
@@ -97,6 +98,10 @@ def segment_table(
 ) -> Segmentation:
     """Fit every candidate on one materialised frame and keep the best.
 
+    Of more than ``FEW_ROWS`` rows, equal ones are merged first, and components
+    are fitted to the distinct ones and projected for these. The frame of all
+    rows is then written only for what needs it (exact single linkage,
+    Euclidean silhouettes); else the labels are a projection of ``df``.
     Tuned trials join the trial table, so a tuned model only wins if it is better.
     """
     target = None
@@ -106,23 +111,28 @@ def segment_table(
     features = [c for c in inputs.columns if c not in key]
     if not features:
         raise ValueError("no numeric or boolean columns to cluster on")
+    inputs = as_doubles(inputs, features)
+    rows, defaults = complete_means(inputs, features)
+    distinct = centres.merge_rows(inputs, features) if rows > centres.FEW_ROWS else None
     components = None
     if use_pca:
-        components = fit_pca(inputs, features, pca_components, pca_variance, output=VECTOR)
-        projection, defaults = components.model, components.means
+        fitted, weight = (inputs, None) if distinct is None else (distinct, centres.WEIGHT)
+        components = fit_pca(fitted, features, pca_components, pca_variance, output=VECTOR, means=defaults, weight=weight)
+        projection = components.model
     else:
-        defaults = check_complete(inputs, features)
         projection = assemble(features, VECTOR)
-    vectors = projection.transform(as_doubles(inputs, features)).select(*[ref(k) for k in key], ref(VECTOR))
-    frame = materialise(vectors, key)
-    search = compare_clusterings(frame, algorithms, key=key, metric=metric, mode=mode, seed=seed, vector=VECTOR, ready=True)
+    merged = None if distinct is None else centres.merge_again(projection.transform(distinct), VECTOR)
+    frame = projection.transform(inputs).select(*[ref(k) for k in key], ref(VECTOR))
+    if merged is None or mode != "squared" or "single_linkage" in {*algorithms, tune}:
+        frame = materialise(frame, key)
+    search = compare_clusterings(frame, algorithms, key=key, metric=metric, mode=mode, seed=seed, vector=VECTOR, ready=True, merged=merged)
     if tune:
         if tune_with not in TUNERS:
             raise ValueError(f"unknown tuner {tune_with!r}, expected one of {tuple(TUNERS)}")
         tuner = TUNERS[tune_with]
         tuned = tuner(
             frame, tune, key=key, n_trials=tune_trials, space=tune_space, metric=metric, mode=mode, seed=seed,
-            vector=VECTOR, first_number=len(search.trials), ready=True,
+            vector=VECTOR, first_number=len(search.trials), ready=True, merged=merged,
         )
         search = Search([*search.trials, *tuned.trials], metric)
     best = search.best()
@@ -161,7 +171,7 @@ def segment_end_to_end(
     preparation = fit_preparation(source, key, **(prepare_options or {}))
     prepared = preparation.transform(source)
     found = segment_table(prepared, key, algorithms, drop=drop, preparation=preparation, **options)
-    original = align_to_source(source, found.labels(), key)
+    original = align_to_source(source, materialise(found.labels(), key), key)
     return Report(
         found,
         original,

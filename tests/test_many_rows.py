@@ -9,8 +9,9 @@ from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from tablelab.operators import centres, cluster, mixture, quality, search
+from tablelab.operators import centres, cluster, missing, mixture, quality, reduce, search
 from tablelab.operators.mixture import fit_mixture
+from tablelab.plans import segment
 from tablelab.session import materialise
 
 
@@ -241,3 +242,61 @@ def test_mixture_of_one_point_is_an_error(spark):
     df = spark.createDataFrame([([1.0, 2.0],)] * 4, "point array<double>").select(array_to_vector("point").alias("features"))
     with pytest.raises(ValueError, match="variance"):
         cluster.fit_gmm_builtin(df, 2)
+
+
+@pytest.fixture(scope="module")
+def features(spark):
+    """Three groups of 200 rows, 20 copies of each, in three numbers and a flag."""
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(size=(600, 3)), 2) + np.repeat([[0, 0, 0], [40, 0, 5], [0, 70, 20]], 200, axis=0)
+    rows = pd.DataFrame(np.tile(x, (20, 1)), columns=["a", "b", "d"])
+    rows["flag"] = rows["a"] > 20
+    return spark.createDataFrame(rows.assign(id=range(len(rows)))).repartition(4).cache()
+
+
+def test_components_of_weighted_rows(features):
+    names = ["a", "b", "d"]
+    plain = reduce.fit_pca(features, names, variance=0.9)
+    merged = centres.merge_rows(features, names)
+    assert merged.count() == features.select(*names).distinct().count()
+    found = reduce.fit_pca(merged, names, variance=0.9, means=plain.means, weight=centres.WEIGHT)
+    assert found.k == plain.k and found.ratios == pytest.approx(plain.ratios)
+    assert np.allclose(found.loadings, plain.loadings)
+    one, other = (np.array([r["components"].toArray() for r in f.transform(features.orderBy("id")).collect()]) for f in (plain, found))
+    assert np.allclose(one, other)
+
+
+def test_weighted_points_are_merged_again(copies):
+    df, rows = copies
+    merged = centres.merge_points(df, "features")
+    again = centres.merge_again(merged.unionByName(merged), "features")
+    assert again.count() == merged.count()
+    assert again.agg(F.sum(centres.WEIGHT)).first()[0] == 2 * len(rows)
+
+
+@pytest.mark.parametrize("mode,written", [("squared", 0), ("euclidean", 1)])
+def test_large_tables_are_segmented_by_distinct_rows(features, monkeypatch, mode, written):
+    """All rows were projected, dealt out and written, for each of five scans."""
+    grids = {"kmeans": {"n_clusters": [2, 3], "n_init": [2]}}
+    few = segment.segment_table(features, ["id"], grids, mode=mode)
+    frames = []
+    monkeypatch.setattr(centres, "FEW_ROWS", 1000)
+    monkeypatch.setattr(segment, "materialise", lambda df, by=(): frames.append(by) or materialise(df, by))
+    many = segment.segment_table(features, ["id"], grids, mode=mode, tune="kmeans", tune_trials=1, tune_space={"n_clusters": {"type": "int", "low": 3, "high": 3}})
+    assert len(frames) == written
+    assert many.model.features == few.model.features and many.model.defaults == pytest.approx(few.model.defaults)
+    for one, other in zip(few.search.trials, many.search.trials):
+        assert {k: v for k, v in one.metrics.items() if k != "silhouette_mode"} == pytest.approx({k: v for k, v in other.metrics.items() if k != "silhouette_mode"})
+    assert sorted(map(tuple, many.labels().collect())) == sorted(map(tuple, few.labels().collect()))
+    assert sorted(map(tuple, many.model.predict(features).collect())) == sorted(map(tuple, few.labels().collect()))
+
+
+def test_gaps_of_many_columns(spark):
+    """More columns than one number has bits."""
+    names = [f"c{i}" for i in range(70)]
+    rows = [tuple(None if (r * 7 + i) % 10 < 3 and i % 3 else float(r) for i in range(70)) for r in range(40)]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names))
+    count = missing._pattern_counter(df, names)
+    for dropped in ((), ("c1",), ("c1", "c32", "c68")):
+        alive = [r for r in rows if all(r[names.index(d)] is not None for d in dropped)]
+        assert [count(c, dropped) for c in names] == [(len(alive), sum(r[i] is None for r in alive)) for i in range(70)]
