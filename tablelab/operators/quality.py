@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablelab.functions.columns import number, ref
-from tablelab.session import materialise
+from tablelab.operators import boxes
+from tablelab.session import in_parallel, materialise
 
 MAX_LABELS = 10_000
 CELL_ROWS = 4096
@@ -30,6 +31,8 @@ TILE = (64, 1024)
 PRODUCT_DIMS, PRODUCT_TILE = 8, (128, 256)
 #: Tasks that share the cells: many more than cores, so that one with several cells doesn't end last.
 CELL_TASKS = 400
+#: From so many rows of few features on, importance sums its distances by boxes of near points.
+BOX_ROWS = 50_000
 MODES = ("squared", "euclidean")
 CHUNK = 256
 
@@ -287,16 +290,45 @@ def silhouette(pts: DataFrame, m: Moments, *, cell_rows: int = CELL_ROWS) -> flo
 
 
 def silhouette_without(pts: DataFrame, m: Moments, *, cell_rows: int = CELL_ROWS) -> tuple[float, list[float]]:
-    """Silhouette with all features, and with each one left out, in one pair pass."""
+    """Silhouette with all features, and with each one left out.
+
+    One pass over all pairs; with many rows of few features, a run by boxes
+    (:mod:`boxes`) for each: the same sums, the pairs far apart by expansions.
+    """
     dims = m.mean.shape[1]
     if m.k < 2:
         return 0.0, [0.0] * dims
+    if m.n.sum() >= BOX_ROWS and 1 <= dims <= boxes.MOST_FEATURES and m.k <= boxes.MOST_LABELS:
+        return _without_by_boxes(pts, m)
     table = silhouette_rows(pts, m, drop_features=True, cell_rows=cell_rows)
     found = table.groupBy("variant").agg((F.sum(F.col("width") * F.col("w")) / F.sum("w")).alias("s")).collect()
     by_variant = {r["variant"]: float(r["s"]) for r in found}
     return by_variant[-1], [by_variant[f] for f in range(dims)]
 
 
+def _without_by_boxes(pts: DataFrame, m: Moments) -> tuple[float, list[float]]:
+    dims = m.mean.shape[1]
+    names = [f"x{i}" for i in range(dims)]
+    rows = _with_index(pts, m).select("c", *[F.get("point", F.lit(i)).alias(f) for i, f in enumerate(names)])
+    distinct = materialise(rows.groupBy("c", *names).agg(F.count(F.lit(1)).alias("w")))
+    points = distinct.count()
+    endless = distinct.agg(*[F.max(F.abs(f) == math.inf).alias(f) for f in names]).first()
+
+    def one(left_out: int) -> float:
+        kept = [f for i, f in enumerate(names) if i != left_out]
+        if not kept:
+            return 0.0
+        if any(endless[f] for f in kept):
+            return math.nan
+        # As in SQL: a distance to a missing value adds nothing, and its row has no width.
+        known = distinct.dropna(subset=kept)
+        merged = known if left_out < 0 else known.groupBy("c", *kept).agg(F.sum("w").alias("w"))
+        return boxes.mean_silhouette(merged, kept, m.n, points)
+
+    found = in_parallel([lambda f=f: one(f) for f in (-1, *range(dims))], dims + 1)
+    return found[0], found[1:]
+
+
 def silhouette_squared(pts: DataFrame, m: Moments) -> float:
     """Silhouette with squared Euclidean distance: linear cost, exact over all rows."""
     if m.k < 2:
