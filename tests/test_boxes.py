@@ -115,7 +115,7 @@ def test_importance_by_boxes_with_missing_values(spark, monkeypatch):
         assert value == pytest.approx(np.mean(widths), abs=1e-12)
 
 
-@pytest.mark.parametrize("name", ["g06_silhouette_drop"])
+@pytest.mark.parametrize("name", ["g06_silhouette_drop", "g07_combined_importance"])
 def test_queries_by_boxes_match_sql(spark, monkeypatch, name):
     monkeypatch.setattr(quality, "BOX_ROWS", 0)
     sf = f"{DATA}/sf0.01"
